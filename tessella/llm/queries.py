@@ -6,17 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import decontamination
+from tessella.llm import bpe_automaton, decontamination
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where a public vocabulary file is; the files stay outside the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.report(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe_automaton": op3_bpe_automaton,
     "op8_decontamination": op8_decontamination,
 }
