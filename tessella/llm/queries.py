@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bpe_automaton, decontamination
+from tessella.llm import bpe_automaton, decontamination, language_id, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,15 +20,25 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.report(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.report(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_bpe_automaton": op3_bpe_automaton,
+    "op6_token_files": op6_token_files,
     "op8_decontamination": op8_decontamination,
 }
