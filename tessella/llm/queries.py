@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bpe_automaton, decontamination, language_id, token_files
+from tessella.llm import bpe_automaton, chat_format, decontamination, language_id, quality_additive, token_files, vantage_points
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +28,24 @@ def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.report(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op4_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_points.report(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_additive.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.report(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, n, role, "</s>[INST] ok [/INST]") for n, role in enumerate(("user", "assistant"))], rows.schema)
+    return chat_format.report(rows.unionByName(tricky))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +53,9 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_bpe_automaton": op3_bpe_automaton,
+    "op4_vantage_points": op4_vantage_points,
+    "op5_quality_additive": op5_quality_additive,
     "op6_token_files": op6_token_files,
+    "op7_chat_format": op7_chat_format,
     "op8_decontamination": op8_decontamination,
 }
