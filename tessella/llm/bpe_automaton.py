@@ -7,11 +7,12 @@ of base symbols. Where all arcs labelled u lead to state p and p has an arc v, t
 After all gadgets the automaton is deterministic and accepts exactly the right tokenizations: one path for each
 word. The target of an arc depends on its label alone, so a state is stored once for each label; a copy is stored
 as its origin, the arc it lost and its birth (the merge's rank), and an arc that a gadget added is looked up
-through the state's origin at that birth. That table has one row for each merge; arcs that a text meets are
-entered in a bounded table of transitions.
+through the state's origin at that birth. That table has one row for each merge.
 
-A word is read left to right. For each prefix the automaton has exactly one path, so it is enough to keep the
-state and the last arc at each position. Decoding emits the arcs' labels.
+A word is read byte by byte. For each prefix the automaton has exactly one path, so a configuration (the arcs that may
+be under way, each as a place in the labels' trie with the state that it left) has one successor for each byte, and at
+most one arc ends there. Successors are entered in a bounded table of steps when a text first needs them; nearly
+every byte is then one lookup. The arcs that ended are followed back from the word's end. Decoding emits their labels.
 
 Texts are prepared as the vocabulary file demands: NFC, white space, lower case, its split pattern, bytes as
 printable characters, a suffix on a word's last symbol; special tokens in the text are their own ids.
@@ -34,8 +35,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tessella.llm.arrays import slices
 from tessella.shipping import ship
 
-#: Entries kept by a worker: transitions of the automaton, and white-space separated pieces with their ids.
-MAX_ARCS = 1_000_000
+#: Entries kept by a worker: arcs, steps through configurations, and white-space separated pieces with their ids.
+MAX_ARCS = 500_000
+MAX_STEPS = 400_000
 MAX_PIECES = 250_000
 MAX_PIECE = 48
 
@@ -54,7 +56,7 @@ def byte_symbols() -> list[str]:
 class MergeAutomaton:
     """States and arcs after all merge gadgets. Labels are token ids; state 0 is the start."""
 
-    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         n = max(vocab.values()) + 1
         self.vocab = vocab
         self.born = born = [0] * n  # 0: a base symbol
@@ -79,7 +81,8 @@ class MergeAutomaton:
                 if u == v:
                     state[w] = p
         self.arcs.clear()
-        self.longest = max(map(len, vocab))
+        self.spell(suffix)
+        self.forget()
 
     def arc(self, q: int, w: int) -> bool:
         """Whether state q has an arc w."""
@@ -102,30 +105,77 @@ class MergeAutomaton:
         self.arcs[key] = has
         return has
 
-    def path(self, symbols: str, suffix: str) -> list[int]:
-        """The labels of the one path for a word's symbols, the last of which carries the suffix."""
-        n, get, arc, state = len(symbols), self.vocab.get, self.arc, self.state
-        whole = get(symbols + suffix)
-        if whole is not None and arc(0, whole):
-            return [whole]
-        last, came, at = [-1] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            end = suffix if i == n else ""
-            for j in range(max(0, i - self.longest), i):
-                if j and last[j] < 0:
-                    continue
-                w = get(symbols[j:i] + end)
-                if w is not None and arc(at[j], w):
-                    last[i], came[i], at[i] = w, j, state[w]
-                    break
-        if last[n] < 0:
-            raise ValueError(f"no path for {symbols!r}: the vocabulary lacks a symbol")
-        out = []
-        while n:
-            out.append(last[n])
-            n = came[n]
+    def path(self, word: bytes) -> list[int]:
+        """The labels of the one path for a word, whose last byte carries the suffix."""
+        table, q, labels, lengths = self.table, 0, [], []
+        for symbol in (*word[:-1], word[-1] + 256):
+            t = table[q].get(symbol) or self.step(q, symbol)
+            q = t[0]
+            labels.append(t[1])
+            lengths.append(t[2])
+        if self.entries > MAX_STEPS:
+            self.forget()
+        i, out = len(word), []
+        while i:
+            out.append(labels[i - 1])
+            i -= lengths[i - 1]
         return out[::-1]
 
+    def forget(self) -> None:
+        """Empty the table of steps; configuration 0 is the beginning of a word."""
+        start = ((0, 0),)
+        self.configs, self.numbers, self.table, self.entries = [start], {start: 0}, [{}], 0
+
+    def step(self, q: int, symbol: int) -> tuple[int, int, int]:
+        """Enter what reading a symbol in a configuration does: next configuration, arc that ends here, its length.
+
+        A configuration is the places in the labels' trie of all arcs that may be under way, each with its state.
+        """
+        going, ends = [], None
+        for node, state in self.configs[q]:
+            child = self.trie[node].get(symbol)
+            if child is not None:
+                w = self.token_at[child]
+                if w >= 0 and ends is None and self.arc(state, w):
+                    ends = (w, self.depth[child])
+                if self.trie[child]:
+                    going.append((child, state))
+        if ends is None:
+            if symbol >= 256 or not going:
+                raise ValueError("no path: the vocabulary lacks a symbol")
+            config = tuple(going)
+        else:
+            config = (*going, (0, self.state[ends[0]]))
+        number = self.numbers.get(config)
+        if number is None:
+            number = self.numbers[config] = len(self.configs)
+            self.configs.append(config)
+            self.table.append({})
+        self.entries += 1
+        found = self.table[q][symbol] = (number, *(ends or (-1, 0)))
+        return found
+
+    def spell(self, suffix: str) -> None:
+        """The trie of all labels over bytes; 256 more for a byte with the suffix."""
+        byte_of = {c: b for b, c in enumerate(byte_symbols())}
+        self.trie, self.token_at, self.depth = [{}], [-1], [0]
+        for label, w in self.vocab.items():
+            last = bool(suffix) and label.endswith(suffix)
+            symbols = [byte_of[c] for c in (label[: -len(suffix)] if last else label)]
+            if last or not suffix:
+                symbols[-1] += 256
+            for word in [symbols] if suffix else [symbols, [*symbols[:-1], symbols[-1] - 256]]:
+                node = 0
+                for x in word:
+                    child = self.trie[node].get(x)
+                    if child is None:
+                        child = self.trie[node][x] = len(self.trie)
+                        self.trie.append({})
+                        self.token_at.append(-1)
+                        self.depth.append(self.depth[node] + 1)
+                    node = child
+                self.token_at[node] = w
+
 
 class Encoder:
     """A vocabulary file's text preparation around its automaton."""
@@ -138,12 +188,11 @@ class Encoder:
             raise ValueError("expected a BPE file with NFC, white space, lower case and one split pattern")
         self.suffix = model["end_of_word_suffix"] or ""
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.automaton = MergeAutomaton(model["vocab"], merges)
+        self.automaton = MergeAutomaton(model["vocab"], merges, self.suffix)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(split[0]["pattern"]["Regex"].replace(r"\s", SPACE)).findall
         self.pieces = regex.compile(f"[^{SPACE}]+").findall
-        self.symbols = byte_symbols()
         labels = {i: s for s, i in model["vocab"].items()} | {i: s for s, i in self.special.items()}
         self.labels = np.array([labels.get(i, "") for i in range(max(labels) + 1)], dtype=object)
         self.known: dict[str, bytes] = {}
@@ -152,7 +201,7 @@ class Encoder:
         """Ids, as little-endian 32-bit integers, of a prepared text without white space."""
         ids: list[int] = []
         for word in self.words(piece):
-            ids += self.automaton.path("".join([self.symbols[b] for b in word.encode()]), self.suffix)
+            ids += self.automaton.path(word.encode())
         out = np.array(ids, dtype="<i4").tobytes()
         if len(piece) <= MAX_PIECE:
             if len(self.known) >= MAX_PIECES:
