@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bag_minhash, bpe_automaton, chat_format, decontamination, language_id, quality_additive, token_files, vantage_points
+from tessella.llm import bag_minhash, bpe_automaton, chat_format, decontamination, language_id, line_dedup, quality_additive, token_files, vantage_points
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classes(_table(spark, sf_dir, "documents"))
 
@@ -62,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
     "op8_decontamination": op8_decontamination,
+    "op9_line_dedup": op9_line_dedup,
     "op10_bag_minhash": op10_bag_minhash,
 }
