@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import bag_minhash, bpe_automaton, chat_format, decontamination, language_id, line_dedup, quality_additive, token_files, vantage_points
+from tessella.llm import bag_minhash, bpe_automaton, chat_format, decontamination, language_id, line_dedup, ppm, quality_additive, token_files, vantage_points
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.report(_table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.report(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ppm": op1_ppm,
     "op2_language_id": op2_language_id,
     "op3_bpe_automaton": op3_bpe_automaton,
     "op4_vantage_points": op4_vantage_points,
