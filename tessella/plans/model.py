@@ -24,13 +24,13 @@ RELATIONS = {
         CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE 'http://host/pub/p' || cast(o_custkey AS string) || '/' || cast(o_orderkey AS string) || '.zip' END AS zip_url, o_orderkey AS okey
         FROM {orders}""",
     "runs": "SELECT run_id, CASE run_id % 3 WHEN 0 THEN 'verify' WHEN 1 THEN 'convert' ELSE 'fetch' END AS command, '2024-01-' || CASE WHEN run_id < 10 THEN '0' ELSE '' END || cast(run_id AS string) AS started_at FROM (SELECT DISTINCT l_linenumber + l_suppkey % 4 * 6 AS run_id FROM {lineitem}) t",
-    "findings": """SELECT l_orderkey * 10 + l_linenumber AS id, l_linenumber + l_suppkey % 4 * 6 AS run_id, CASE l_linestatus WHEN 'O' THEN 'convert' ELSE 'verify' END AS stage,
+    "findings": """SELECT l_orderkey * 10000000 + l_partkey * 1000 + l_suppkey % 10 * 10 + l_linenumber AS id, l_linenumber + l_suppkey % 4 * 6 AS run_id, CASE l_linestatus WHEN 'O' THEN 'convert' ELSE 'verify' END AS stage,
         CASE l_returnflag WHEN 'A' THEN 'error' WHEN 'N' THEN 'warning' ELSE 'note' END AS severity, 'C' || cast(l_partkey % 20 AS string) AS code, 'p' || cast(l_suppkey AS string) AS slug,
         '1.' || cast(l_partkey % 3 AS string) AS version, 'guide' || cast(l_partkey % 5 AS string) || '/page' || cast(l_partkey AS string) || '.md' AS path,
-        CASE WHEN l_quantity < 10 THEN NULL ELSE cast(l_quantity AS int) END AS n, cast(l_extendedprice AS bigint) AS words FROM {lineitem}""",
+        CASE WHEN l_quantity < 10 THEN NULL ELSE cast(l_quantity AS int) END AS n, cast(floor(l_extendedprice) AS bigint) AS words FROM {lineitem}""",
     "stage_events": """SELECT 'p' || cast(user_id AS string) AS slug, cast(event_id % 2 AS string) AS version,
         CASE event_type WHEN 'view' THEN 'downloaded' WHEN 'click' THEN 'extracted' WHEN 'signup' THEN 'converted' WHEN 'purchase' THEN 'merged' ELSE 'synced' END AS stage,
-        CASE WHEN value > 15 THEN 'failed' ELSE 'ok' END AS outcome, ts AS at, event_id FROM {events}""",
+        CASE WHEN value > 15 THEN 'failed' ELSE 'ok' END AS outcome, ts AS happened, event_id FROM {events}""",
     "files": """SELECT p_partkey AS fid, 'p' || cast(p_partkey % 50 AS string) AS slug, 'guide' || cast(p_partkey % 4 AS string) || '/' || replace(p_name, ' ', '_') || '/' || CASE WHEN p_partkey % 7 = 0 THEN 'T' ELSE 't' END || cast(p_partkey AS string) || CASE p_partkey % 3 WHEN 0 THEN '.htm' WHEN 1 THEN '.html' ELSE '.png' END AS path,
         cast(p_size AS bigint) * 1000 AS bytes, p_brand AS brand, lower(p_type) AS kind FROM {part}""",
     "nodes": "SELECT p_partkey AS node, CASE WHEN p_partkey = 0 THEN NULL ELSE cast(floor((p_partkey - 1) / 6) AS bigint) END AS parent, p_partkey AS pos, p_name || ' ' || cast(p_partkey % 13 AS string) AS title, cast(p_size AS bigint) AS words FROM {part}",
