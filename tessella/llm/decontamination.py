@@ -16,6 +16,7 @@ hits nothing; columns of the input other than id and text are ignored by `scan`
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,11 +108,12 @@ _sets: dict[tuple, WindowSet] = {}
 
 
 def _window_set(shared, size: int) -> WindowSet:
-    key = (shared.id if hasattr(shared, "id") else id(shared), size)
+    name, items = shared.value
+    key = (name, size)
     if key not in _sets:
         if len(_sets) > 2:
             _sets.clear()
-        _sets[key] = WindowSet(shared.value, size)
+        _sets[key] = WindowSet(items, size)
     return _sets[key]
 
 
@@ -120,7 +122,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str
     spark = documents.sparkSession
     ship(spark)
     schema = T.StructType([T.StructField(id_col, documents.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("hit_words", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))])
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, item_col, item_text, block_bytes)]
+    blocks = [spark.sparkContext.broadcast((uuid.uuid4().hex, b)) for b in _blocks(benchmark, item_col, item_text, block_bytes)]
     if len(blocks) == 1:
         shared = blocks[0]
         return documents.select(id_col, text_col).mapInArrow(lambda b: _scan_batches(b, shared, id_col, text_col, size), schema)
@@ -149,7 +151,7 @@ def clean(documents: DataFrame, benchmark: DataFrame, remove: str = "documents",
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     spark = documents.sparkSession
     ship(spark)
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, item_col, item_text, block_bytes)]
+    blocks = [spark.sparkContext.broadcast((uuid.uuid4().hex, b)) for b in _blocks(benchmark, item_col, item_text, block_bytes)]
     schema = documents.schema
 
     def run(batches):
