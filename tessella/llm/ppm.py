@@ -289,7 +289,8 @@ def score(documents: DataFrame, counts: DataFrame, trie: Trie, id_col: str = "do
     spark = documents.sparkSession
     ship(spark)
     words = counts.where("kind = 1")
-    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    is_end = (F.col("k1") == _END_TOKEN[0]) & (F.col("k2") == _END_TOKEN[1])
+    total, kinds, end_n = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(is_end, F.col("n"))), F.lit(0))).first()
     top = words.where(F.col("n") * head >= total).select("k1", "k2", "n").toPandas().sort_values(["k1", "k2"]).drop_duplicates("k1", keep=False)
     shared = spark.sparkContext.broadcast((trie, _Head(*(top[c].to_numpy(np.int64).view(t) for c, t in (("k1", np.uint64), ("k2", np.uint64), ("n", np.int64))))))
     below = float(np.log10(total + kinds + 1))
@@ -318,9 +319,6 @@ def score(documents: DataFrame, counts: DataFrame, trie: Trie, id_col: str = "do
                 k = np.lexsort((h2[miss], h1[miss], doc[miss]))
                 d, a, b = doc[miss][k], h1[miss][k], h2[miss][k]
                 new = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(d) else np.zeros(0, np.int64)
-                ends = np.array([_END_TOKEN[0]], np.uint64)
-                e = known.table.find(ends)[0]
-                end_n = int(known.n[e]) if e >= 0 else 0
                 per = np.bincount(d[new], minlength=n)[:n]
                 rare = pa.StructArray.from_arrays([pa.array(a[new].view(np.int64)), pa.array(b[new].view(np.int64)), pa.array(np.diff(np.append(new, len(d))).astype(np.int32))], names=["k1", "k2", "tf"])
                 yield pa.RecordBatch.from_arrays(
