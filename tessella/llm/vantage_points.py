@@ -27,17 +27,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tessella.llm.arrays import ranges
 from tessella.shipping import ship
 from tessella.storage import written
 
 SHARD_ROWS = 8192
 BLOCK_ROWS = 256
-LEAF = 48
+LEAF = 256
 _NO_ID = np.iinfo(np.int64).max
 
 
 def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Of each row of q from each row of x, in double precision, without cancelling."""
+    """Of each row of q from each row of x, in double precision, without cancelling; for few rows."""
     return np.sqrt(((q[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
 
 
@@ -85,29 +86,45 @@ class Tree:
         m = len(q)
         best = np.full((m, k), np.inf)
         ids, places = np.full((m, k), _NO_ID), np.zeros((m, k), dtype=np.int64)
-
-        def offer(act: np.ndarray, d: np.ndarray, rows: np.ndarray) -> None:
-            counts = np.minimum(self.first[rows + 1] - self.first[rows], k + 1)
-            at = np.repeat(self.first[rows] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-            place = np.repeat(np.arange(len(rows)), counts)
-            new_ids = np.broadcast_to(self.ids[at], (len(act), len(at)))
-            new_d = np.where(new_ids == own[act][:, None], np.inf, d[:, place])
-            all_d = np.concatenate((best[act], new_d), axis=1)
-            all_i = np.concatenate((ids[act], np.where(np.isinf(new_d), _NO_ID, new_ids)), axis=1)
-            all_p = np.concatenate((places[act], np.broadcast_to(rows[place], new_ids.shape)), axis=1)
-            order = np.lexsort((all_i, all_d), axis=1)[:, :k]
-            line = np.arange(len(act))[:, None]
-            best[act], ids[act], places[act] = all_d[line, order], all_i[line, order], all_p[line, order]
+        q_norm, x_norm = (q * q).sum(axis=1), (self.vectors * self.vectors).sum(axis=1)
+
+        def offer(act: np.ndarray, rows: np.ndarray) -> None:
+            """Nearness by one matrix product nominates; what can still be among the k nearest is measured exactly."""
+            size = q_norm[act][:, None] + x_norm[rows][None, :]
+            near = size - 2 * (q[act] @ self.vectors[rows].T)
+            limit = best[act, k - 1] ** 2
+            if len(rows) > k + 1:  # one place may hold the query's own row
+                limit = np.minimum(limit, np.partition(near, k, axis=1)[:, k])
+            line, col = np.nonzero(near - 1e-10 * size <= limit[:, None])
+            if not len(line):
+                return
+            row = rows[col]
+            d = np.sqrt(((q[act[line]] - self.vectors[row]) ** 2).sum(axis=1))
+            counts = np.minimum(self.first[row + 1] - self.first[row], k + 1)
+            pair = np.repeat(np.arange(len(row)), counts)
+            new_id = self.ids[ranges(self.first[row], counts)]
+            who = act[line[pair]]
+            other = new_id != own[who]
+            pair, new_id, who = pair[other], new_id[other], who[other]
+            mine = np.unique(who)
+            all_q = np.concatenate((np.repeat(mine, k), who))
+            all_d = np.concatenate((best[mine].reshape(-1), d[pair]))
+            all_i = np.concatenate((ids[mine].reshape(-1), new_id))
+            all_p = np.concatenate((places[mine].reshape(-1), row[pair]))
+            order = np.lexsort((all_i, all_d, all_q))
+            start = np.searchsorted(all_q[order], mine)
+            take = order[start[:, None] + np.arange(k)]
+            best[mine], ids[mine], places[mine] = all_d[take], all_i[take], all_p[take]
 
         def visit(node: int, act: np.ndarray) -> None:
             what = self.nodes[node]
             if isinstance(what, np.ndarray):
                 if len(what):
-                    offer(act, distances(q[act], self.vectors[what]), what)
+                    offer(act, what)
                 return
             vp, near, far = what
             d = distances(q[act], self.vectors[vp : vp + 1])[:, 0]
-            offer(act, d[:, None], np.array([vp]))
+            offer(act, np.array([vp]))
             close = d <= (near[1] + far[0]) / 2
             for first, mine in ((near, close), (far, ~close)):
                 other = far if first is near else near
