@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 #: Characters that compare as their plain form, labels of alert boxes, words that titles can lose.
 PLAIN_FROM, PLAIN_TO = "‘’‚‛“”„‟‐‑‒–—− ", "''''\"\"\"\"------ "
@@ -19,13 +19,13 @@ ALERTS = {
 }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition, which Spark has no function for."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _folded(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 

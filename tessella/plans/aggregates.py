@@ -49,9 +49,9 @@ def f119_pending_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.pending_repairs(counts)
 
 
-@query("SELECT id FROM {findings} WHERE slug NOT IN (SELECT slug FROM {stage_events} WHERE version = '0' AND stage = 'merged' AND outcome = 'failed')")
+@query("SELECT id FROM {findings} WHERE slug NOT IN (SELECT slug FROM {stage_events} WHERE slug LIKE 'p1%')")
 def f033_cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.forget(relation(spark, sf_dir, "findings"), relation(spark, sf_dir, "stage_events").where("version = '0' and stage = 'merged' and outcome = 'failed'").select("slug").distinct(), ["slug"]).select("id")
+    return O.forget(relation(spark, sf_dir, "findings"), relation(spark, sf_dir, "stage_events").where("slug like 'p1%'").select("slug").distinct(), ["slug"]).select("id")
 
 
 @query("SELECT stage, code, rows, occurrences FROM (SELECT stage, code, count(*) AS rows, sum(greatest(coalesce(n, 1), 1)) AS occurrences FROM {findings} WHERE run_id = 3 GROUP BY 1, 2) t")
