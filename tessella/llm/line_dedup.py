@@ -14,6 +14,8 @@ Any later copy is the union of the shortest runs of `min_words` words that begin
 of m lines is known by m and the names of the two blocks of 2^k <= m lines at its ends. The first occurrence
 of each such run is a minimum over its LCP interval; all others are deleted.
 
+All tables here grow with the corpus, so every join is told to shuffle, at any size; none is broadcast.
+
 Defined results: a null text stays null; an empty text is one empty line; a row without an id is ordered by its
 text's hash; rows with equal id and text are one document, given out as often as they occur, with the same result; an
 empty table gives no rows; other columns are kept by `clean` and ignored by `report`.
@@ -122,7 +124,7 @@ def deletions(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if _repeats(documents, id_col):
         lines = lines.dropDuplicates(["d1", "d2", "pos"])
     again = _named(lines, ["h1", "h2"], "name")
-    active = lines.join(again, ["h1", "h2"]).select("d1", "d2", "pos", "w", "name")
+    active = lines.join(again.hint("merge"), ["h1", "h2"]).select("d1", "d2", "pos", "w", "name")
     order = ["d1", "d2", "pos"]
     long = "d1 long, d2 long, pos int, fore int, back int, n0 long"
     blocks = written(active.repartition("d1", "d2").sortWithinPartitions(*order).mapInArrow(lambda b: _shortest(b, min_words), long), "line-blocks")
@@ -133,12 +135,12 @@ def deletions(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         run = F.col("pos") - F.row_number().over(Window.partitionBy("d1", "d2").orderBy("pos"))
         paired = written(blocks.withColumn("run", run).withColumn("_next", ahead).drop("run"), "line-pairs")
         names = _named(paired.where("_next is not null").select(F.col(f"n{k}").alias("p"), F.col("_next").alias("q")), ["p", "q"], f"n{k + 1}")
-        joined = paired.join(names, (F.col(f"n{k}") == F.col("p")) & (F.col("_next") == F.col("q")), "left").drop("p", "q", "_next")
+        joined = paired.join(names.hint("merge"), (F.col(f"n{k}") == F.col("p")) & (F.col("_next") == F.col("q")), "left").drop("p", "q", "_next")
         # a block that occurs once is like no other: give it a number below all names
         blocks = written(joined.withColumn(f"n{k + 1}", F.coalesce(f"n{k + 1}", -1 - F.monotonically_increasing_id())), "line-blocks")
     runs = written(blocks.repartition("d1", "d2").sortWithinPartitions(*order).mapInArrow(lambda b: _classes(b, depth), "d1 long, d2 long, pos int, m int, a long, b long"), "line-runs")
     first = runs.groupBy("m", "a", "b").agg(F.min(F.struct(*order)).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = runs.join(first, ["m", "a", "b"]).where(F.struct(*order) > F.col("first"))
+    later = runs.join(first.hint("merge"), ["m", "a", "b"]).where(F.struct(*order) > F.col("first"))
     gone = later.groupBy("d1", "d2").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("m") - 1))))).alias("gone"))
     return written(gone, "line-deletions")
 
@@ -150,7 +152,7 @@ def _repeats(documents: DataFrame, id_col: str) -> bool:
 
 def _applied(documents: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     gone = deletions(documents, id_col, text_col, min_words)
-    rows = _identified(documents, id_col, text_col).join(gone.withColumnsRenamed({"d1": "_d1", "d2": "_d2", "gone": "_gone"}), ["_d1", "_d2"], "left")
+    rows = _identified(documents, id_col, text_col).join(gone.withColumnsRenamed({"d1": "_d1", "d2": "_d2", "gone": "_gone"}).hint("merge"), ["_d1", "_d2"], "left")
     kept = F.array_join(F.filter(F.split(text_col, "\n", -1), lambda _, i: ~F.array_contains("_gone", i)), "\n")
     return rows.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col(text_col)).when(F.size("_gone") == F.size(F.split(text_col, "\n", -1)), "").otherwise(kept))
 
