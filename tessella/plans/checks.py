@@ -18,13 +18,13 @@ over("f066_evidence", lambda v, e: K.evidence(v.where("okey % 3 = 0").select("sl
 over("f067_locale_overlay", lambda e: K.overlay(e.where("version = '0'"), e.where("version = '1'"), ["downloaded", "extracted"]).select("event_id"), "stage_events", oracle="SELECT event_id FROM {stage_events} WHERE (version = '0') = (stage IN ('downloaded', 'extracted'))")
 over("f070_template_derivation", lambda f: K.derive_template(f.select(_c("fid").alias("sid"), "path"), f.where("fid % 10 < 9").select(F.concat(F.lit("old/docs/"), F.regexp_replace("path", "^[^/]*/", "")).alias("url"))).where("enough").select("drop", "prefix", "hits"), "files", oracle="WITH s AS (SELECT fid, string_split(path, '/') AS p FROM {files}), t AS (SELECT fid, k AS drop, array_to_string(p[k + 1:], '/') AS tail FROM (SELECT fid, p, unnest(range(0, least(len(p) - 1, 3) + 1)) AS k FROM s) x), u AS (SELECT string_split('old/docs/' || regexp_replace(path, '^[^/]*/', ''), '/') AS u FROM {files} WHERE fid % 10 < 9), e AS (SELECT DISTINCT array_to_string(u[1:k], '/') AS prefix, array_to_string(u[k + 1:], '/') AS tail FROM (SELECT u, unnest(range(0, len(u))) AS k FROM u) x), h AS (SELECT drop, prefix, count(DISTINCT fid) AS hits FROM t JOIN e USING (tail) GROUP BY 1, 2) SELECT cast(drop AS int) AS drop, prefix, hits FROM h WHERE hits >= 0.9 * (SELECT count(*) FROM {files})")
 over("f083_anchor_misses", lambda f: K.anchor_misses(f.select(_c("fid").alias("lid"), _c("slug").alias("page"), F.when(_c("fid") % 3 == 0, F.upper("brand")).when(_c("fid") % 3 == 1, F.lit("none")).otherwise(_c("brand")).alias("anchor")), f.select(_c("slug").alias("page"), _c("brand").alias("anchor"))), "files", oracle="SELECT fid AS lid, CASE WHEN fid % 3 = 0 THEN brand END AS near FROM {files} WHERE fid % 3 < 2")
-over("f089_owned_merge", lambda n: K.owned_merge(n.where("node < 300").select(_c("node").alias("key"), "pos"), n.where("node >= 1000 and node < 1020").select(_c("node").alias("key"), _c("pos").alias("n")), n.where("node % 100 = 50").select(_c("node").alias("key"))), "nodes", oracle="SELECT node AS key, CASE WHEN node < 50 THEN 0 ELSE 2 END AS side, pos AS place FROM {nodes} WHERE node < 300 AND node % 100 <> 50 UNION ALL SELECT node, 1, pos FROM {nodes} WHERE node >= 1000 AND node < 1020")
+over("f089_owned_merge", lambda n: K.owned_merge(n.select(_c("node").alias("key"), "pos"), n.where("words between 20 and 25").select((_c("node") + 1000000).alias("key"), _c("pos").alias("n")), n.where("words > 45").select(_c("node").alias("key"))), "nodes", oracle="SELECT node AS key, CASE WHEN pos < (SELECT min(pos) FROM {nodes} WHERE words > 45) THEN 0 ELSE 2 END AS side, pos AS place FROM {nodes} WHERE words <= 45 UNION ALL SELECT node + 1000000, 1, pos FROM {nodes} WHERE words BETWEEN 20 AND 25")
 over("f091_secondary_copies", lambda f: K.secondary_copies(f.withColumn("path", F.concat("kind", F.lit("/"), "brand")), f.where("fid % 4 = 0").select("fid")), "files", oracle="SELECT f.fid, t.twin FROM {files} f JOIN (SELECT brand, min(fid) AS twin FROM {files} WHERE fid % 4 = 0 GROUP BY 1) t USING (brand) WHERE fid % 4 <> 0")
 over("f093_inbound_orphans", lambda l, f: K.inbound(l, f, _c("fid") % 3 != 0), "links", "files", oracle="SELECT lid, src, fid FROM {links} WHERE src % 3 <> 0 AND fid % 3 = 0 AND src IN (SELECT fid FROM {files})")
 over("f121_layout_audit", lambda f: K.layout_audit(f.where("fid % 7 <> 0").select(_c("slug").alias("page"), _c("brand").alias("topic")).unionByName(f.where("fid < 3").select(_c("slug").alias("page"), F.concat(F.lit("x"), _c("fid").cast("string")).alias("topic"))), f.select(_c("brand").alias("topic")).distinct().unionByName(f.where("fid = 0").select(F.lit("never").alias("topic")))), "files", oracle="SELECT brand AS topic, 'repeated' AS fault FROM {files} WHERE fid % 7 <> 0 GROUP BY 1 HAVING count(DISTINCT slug) > 1 UNION ALL SELECT 'x' || fid, 'unknown' FROM {files} WHERE fid < 3 UNION ALL SELECT 'never', 'lost'")
 over("f134_natural_order", lambda v: v.groupBy("slug").agg(F.max_by("version", F.struct(natural_key(_c("version")), "version")).alias("newest")), "versions", oracle=r"SELECT slug, newest FROM (SELECT slug, version AS newest, row_number() OVER (PARTITION BY slug ORDER BY regexp_matches(version, '^\d'), CASE WHEN regexp_matches(version, '^\d') THEN 0 END, [cast(p AS bigint) FOR p IN regexp_extract_all(version, '\d+')] DESC) AS r FROM {versions}) t WHERE r = 1")
-over("f136_document_order", lambda f: f.orderBy(F.when(_c("kind") == "economy", 0).otherwise(1), F.lower("brand"), F.lower("path")).select("fid").limit(50), "files", oracle="SELECT fid FROM {files} ORDER BY CASE WHEN kind = 'economy' THEN 0 ELSE 1 END, lower(brand), lower(path) LIMIT 50")
-over("f142_ordered_union", lambda n: n.where("node < 5").select("node", F.lit(0).alias("side")).unionByName(n.where("node > 90 and node < 95").select("node", F.lit(1).alias("side"))).orderBy("side", "node"), "nodes", oracle="SELECT node, 0 AS side FROM {nodes} WHERE node < 5 UNION ALL SELECT node, 1 FROM {nodes} WHERE node > 90 AND node < 95")
+over("f136_document_order", lambda f: f.orderBy(F.when(_c("kind") == "economy", 0).otherwise(1), F.lower("brand"), F.lower("path")).select("fid"), "files", oracle="SELECT fid FROM {files} ORDER BY CASE WHEN kind = 'economy' THEN 0 ELSE 1 END, lower(brand), lower(path)")
+over("f142_ordered_union", lambda n: n.where("words <= 25").select("node", F.lit(0).alias("side")).unionByName(n.where("words > 25").select("node", F.lit(1).alias("side"))).orderBy("side", "node"), "nodes", oracle="SELECT node, 0 AS side FROM {nodes} WHERE words <= 25 UNION ALL SELECT node, 1 FROM {nodes} WHERE words > 25")
 over("f212_merged_page", lambda n: K.merged_page(n.select((_c("node") % 40).alias("page"), "pos", _c("title").alias("text")), "page"), "nodes", oracle="SELECT node % 40 AS page, string_agg(title, chr(10) || chr(10) ORDER BY pos) AS text FROM {nodes} GROUP BY 1")
 over("f217_outermost_roots", lambda f: K.outermost(f.select(F.when(_c("fid") % 4 == 1, F.split_part("path", F.lit("/"), F.lit(1))).otherwise(F.regexp_replace("path", "/[^/]*$", "")).alias("root")).distinct()), "files", oracle="WITH r AS (SELECT DISTINCT CASE WHEN fid % 4 = 1 THEN split_part(path, '/', 1) ELSE regexp_replace(path, '/[^/]*$', '') END AS root FROM {files}) SELECT root FROM r WHERE NOT EXISTS (SELECT 1 FROM r AS o WHERE starts_with(r.root, o.root || '/'))")
 over("f226_page_per_row", lambda n: n.groupBy("title").agg(F.min("node").alias("node")), "nodes", oracle="SELECT title, min(node) AS node FROM {nodes} GROUP BY 1")

@@ -43,14 +43,14 @@ scalar("f126_heading_compaction", "cells", "k", lambda: F.array_join(D.compact_h
 @query(
     r"""WITH s AS (SELECT doc_id, unnest(list_filter([trim(x) FOR x IN string_split(regexp_replace(lower(text), '([.!?:;])\s+', '\1␟', 'g'), '␟')], lambda x: x <> '')) AS sentence FROM {documents}),
     w AS (SELECT doc_id, regexp_extract_all(sentence, '[a-z0-9]+(?:[''.\-_/][a-z0-9]+)*') AS w FROM s),
-    t AS (SELECT doc_id, ' ' || array_to_string(tw, ' ') || ' ' AS joined, CASE WHEN len(tw) = 0 THEN [] WHEN len(tw) <= 8 THEN [array_to_string(tw, ' ')] ELSE list_distinct([array_to_string(tw[i:i+7], ' ') FOR i IN range(1, len(tw) - 6)]) END AS runs FROM (SELECT doc_id, regexp_extract_all(lower(substr(text, 1, 600)), '[a-z0-9]+(?:[''.\-_/][a-z0-9]+)*') AS tw FROM {documents}) x),
+    t AS (SELECT doc_id, ' ' || array_to_string(tw, ' ') || ' ' AS joined, CASE WHEN len(tw) = 0 THEN [] WHEN len(tw) <= 8 THEN [array_to_string(tw, ' ')] ELSE list_distinct([array_to_string(tw[i:i+7], ' ') FOR i IN range(1, len(tw) - 6)]) END AS runs FROM (SELECT doc_id, regexp_extract_all(regexp_replace(lower(text), ' (the|of) ', ' ', 'g'), '[a-z0-9]+(?:[''.\-_/][a-z0-9]+)*') AS tw FROM {documents}) x),
     j AS (SELECT w.doc_id, len(w) AS n, w, joined, runs, CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= 8 THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[i:i+7], ' ') FOR i IN range(1, len(w) - 6)]) END AS mine FROM w JOIN t USING (doc_id)),
     k AS (SELECT doc_id, n, n < 4 OR contains(joined, ' ' || array_to_string(w, ' ') || ' ') OR (n >= 8 AND len(list_intersect(mine, runs)) >= 0.8 * len(mine)) AS there FROM j)
     SELECT doc_id, sum(n)::bigint AS words, sum(CASE WHEN there THEN n ELSE 0 END)::bigint AS present, count(*) FILTER (NOT there) AS missing, CASE WHEN sum(n) = 0 THEN 100.0 ELSE round_even(sum(CASE WHEN there THEN n ELSE 0 END) * 100.0::double / sum(n), 1) END AS percent FROM k GROUP BY 1"""
 )
 def f112_text_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = relation(spark, sf_dir, "documents").where("text is not null")
-    return D.coverage(docs.select("doc_id", F.lower("text").alias("text")), docs.select("doc_id", F.lower(F.substring("text", 1, 600)).alias("text")), "doc_id")
+    return D.coverage(docs.select("doc_id", F.lower("text").alias("text")), docs.select("doc_id", F.regexp_replace(F.lower("text"), " (the|of) ", " ").alias("text")), "doc_id")
 
 
 @query("SELECT d.doc_id, contains(lower(e.text), lower(split_part(d.text, chr(10), 1))) AS value FROM {documents} d JOIN {documents} e ON e.doc_id = d.doc_id - 1")
@@ -75,6 +75,6 @@ over("f147_sibling_duplicates", lambda d: D.sibling_duplicates(d.select(_c("sour
 over("f081_images_missing", lambda d: D.images_missing(d.select(_c("doc_id").alias("page"), F.sha2("text", 256).alias("digest")), d.where("doc_id % 3 = 0").select(F.sha2("text", 256).alias("digest"))).select("page"), "documents", oracle="SELECT doc_id AS page FROM {documents} WHERE text NOT IN (SELECT text FROM {documents} WHERE doc_id % 3 = 0)")
 over("f255_document_check", lambda f: D.check_document(f.where("fid % 5 <> 0").select(_c("path").alias("name"), F.md5("brand").alias("digest")), f.where("fid % 7 <> 0").select(_c("path").alias("name"), F.md5(F.when(_c("fid") % 3 == 0, "kind").otherwise(_c("brand"))).alias("digest"))), "files", oracle="SELECT path AS name, CASE WHEN fid % 7 = 0 THEN 'missing' WHEN fid % 5 = 0 THEN 'extra' ELSE 'changed' END AS verdict FROM {files} WHERE NOT (fid % 7 = 0 AND fid % 5 = 0) AND (fid % 7 = 0 OR fid % 5 = 0 OR fid % 3 = 0)")
 over("f272_anchor_pruning", lambda f: D.anchors_kept(f.select(_c("slug").alias("page"), _c("brand").alias("anchor")).distinct(), f.where("fid % 9 = 0").select(_c("slug").alias("page"), F.upper("brand").alias("anchor"))), "files", oracle="SELECT DISTINCT slug AS page, brand AS anchor FROM {files} f WHERE EXISTS (SELECT 1 FROM {files} g WHERE g.fid % 9 = 0 AND g.slug = f.slug AND g.brand = f.brand)")
-over("f145_intersect_shingles", lambda d: d.select("doc_id", X.words(F.lower("text")).alias("w")).select("doc_id", F.size(F.array_intersect(F.slice("w", 1, 50), F.slice("w", 51, 50))).alias("shared")), "documents", oracle=f"SELECT doc_id, len(list_intersect(w[1:50], w[51:100])) AS shared FROM (SELECT doc_id, {_words.format('lower(text)')} AS w FROM {{documents}}) t")
+over("f145_intersect_shingles", lambda d: d.select("doc_id", X.words(F.lower("text")).alias("w")).select("doc_id", F.size(F.array_intersect(F.slice("w", F.lit(1), F.floor(F.size("w") / 2).cast("int")), F.slice("w", F.floor(F.size("w") / 2).cast("int") + 1, F.size("w")))).alias("shared")), "documents", oracle=f"SELECT doc_id, len(list_intersect(w[1:cast(floor(len(w) / 2) AS int)], w[cast(floor(len(w) / 2) AS int) + 1:])) AS shared FROM (SELECT doc_id, {_words.format('lower(text)')} AS w FROM {{documents}}) t")
 over("f258_distinct_urls", lambda p: p.select(F.explode(F.regexp_extract_all("html", F.lit(r'href="(http[^"]*)"'), F.lit(1))).alias("url")).unionByName(p.select("url")).distinct(), "pages", oracle="SELECT DISTINCT url FROM (SELECT unnest(regexp_extract_all(html, 'href=\"(http[^\"]*)\"', 1)) AS url FROM {pages} UNION ALL SELECT url FROM {pages}) t")
 over("f265_code_runs", lambda d: D.maximal_runs(d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")), "doc_id", "pos", F.length("line") > 60), "documents", oracle="WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM {documents}), h AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM l WHERE length(line) > 60) SELECT doc_id, min(pos) AS first, max(pos) AS last, count(*) AS length FROM h GROUP BY doc_id, g")

@@ -35,14 +35,14 @@ over("f006_crawl", lambda v: R.crawled(v.select("slug", _c("okey").alias("pos"),
 over("f007_sitemap", lambda p: p.select("page_id", F.explode(R.sitemap(F.concat(F.lit("<urlset><url><loc>"), _c("url"), F.lit("</loc><lastmod>2024-01-01</lastmod></url></urlset>")))).alias("e")).select("page_id", "e.loc", "e.lastmod"), "pages", oracle="SELECT page_id, url AS loc, '2024-01-01' AS lastmod FROM {pages}")
 over("f008_incremental_walk", lambda f: R.changed(f.select(_c("path").alias("loc"), (_c("fid") % 3).cast("string").alias("lastmod")), f.where("fid % 5 <> 0").select(_c("path").alias("loc"), (_c("fid") % 4).cast("string").alias("lastmod")))[0], "files", oracle="SELECT path AS loc, cast(fid % 3 AS string) AS lastmod FROM {files} WHERE fid % 5 = 0 OR fid % 3 <> fid % 4")
 over("f016_published_tree", lambda f: R.published(f.select(F.concat(F.lit("en-us/"), _c("slug"), F.lit("/guide/1-0/"), _c("path")).alias("path"))).groupBy("locale", "slug", "doc_class", "segment").agg(F.count("*").alias("n")), "files", oracle="SELECT 'en-us' AS locale, slug, 'guide' AS doc_class, '1-0' AS segment, count(*) AS n FROM {files} GROUP BY slug")
-over("f018_js_table", lambda n: n.where("node < 50").select("node", F.explode(R.toc(F.concat(F.lit("define({n:[{t:'"), _c("title"), F.lit("',h:'x.htm',n:[{t:'in',h:'y'},]}]});")), "define")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'x.htm' AS path FROM {nodes} WHERE node < 50 UNION ALL SELECT node, 1, 'in', 'y' FROM {nodes} WHERE node < 50")
+over("f018_js_table", lambda n: n.select("node", F.explode(R.toc(F.concat(F.lit("define({n:[{t:'"), _c("title"), F.lit("',h:'x.htm',n:[{t:'in',h:'y'},]}]});")), "define")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'x.htm' AS path FROM {nodes} UNION ALL SELECT node, 1, 'in', 'y' FROM {nodes}")
 over("f019_html_toc", lambda p: p.select("page_id", F.size(R.toc(_c("html"), "lists")).alias("n")), "pages")
 over("f020_help_map", lambda i: i.where("release = 1").groupBy("slug").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ident", "target"))), lambda e: F.concat(F.lit('<Map Name="'), e["ident"], F.lit('" Link="'), e["target"], F.lit('#a"/>'))), "").alias("x")).select("slug", F.explode(R.help_map(_c("x"))).alias("e")).select("slug", "e.*"), "ids", oracle="SELECT slug, ident, target AS link, 'a' AS anchor FROM {ids} WHERE release = 1")
-over("f021_yaml_toc", lambda n: n.where("node < 50").select("node", F.explode(R.toc(F.concat(F.lit("docs:\n- title: "), _c("title"), F.lit("\n  url: a.md\n  subfolderlist:\n  - title: in\n    url: b.md\n")), "yaml")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'a.md' AS path FROM {nodes} WHERE node < 50 UNION ALL SELECT node, 1, 'in', 'b.md' FROM {nodes} WHERE node < 50")
+over("f021_yaml_toc", lambda n: n.select("node", F.explode(R.toc(F.concat(F.lit("docs:\n- title: "), _c("title"), F.lit("\n  url: a.md\n  subfolderlist:\n  - title: in\n    url: b.md\n")), "yaml")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'a.md' AS path FROM {nodes} UNION ALL SELECT node, 1, 'in', 'b.md' FROM {nodes}")
 over("f022_pdf_title", lambda f: f.select("fid", R.pdf_title(F.when(_c("fid") % 4 == 0, "Untitled").when(_c("fid") % 4 == 1, F.concat("brand", F.lit(".docx"))).otherwise(_c("brand"))).alias("title")), "files", oracle="SELECT fid, CASE WHEN fid % 4 > 1 THEN brand END AS title FROM {files}")
 over("f025_redirect_map", lambda f: f.select("fid", F.explode(R.redirect_map(F.when(_c("fid") % 2 == 0, F.concat(F.lit('{"a":"'), _c("path"), F.lit('"}'))).otherwise(F.concat(F.lit('[{"from":"a","to":"'), _c("path"), F.lit('"}]'))))).alias("e")).select("fid", "e.*"), "files", oracle="SELECT fid, 'a' AS \"from\", path AS \"to\" FROM {files}")
 over("f216_engine_detection", lambda f: R.engine(f.select("slug", F.when(_c("fid") % 97 == 0, F.lit("Data/Toc.js")).otherwise(_c("path")).alias("path"), F.when(_c("fid") % 11 == 0, F.lit("x WebWorks y")).otherwise(F.lit("")).alias("head"))), "files", oracle="SELECT slug, CASE WHEN bool_or(fid % 97 = 0) THEN 'flare' WHEN bool_or(fid % 11 = 0) THEN 'webworks' ELSE 'auto' END AS engine FROM {files} GROUP BY 1")
-over("f035_markdown_report", lambda f: W.report(f.where("fid < 40").select("fid", "path"), ["fid", "path"]).select("line"), "files", oracle="SELECT '| fid | path |' AS line UNION ALL SELECT '| --- | --- |' UNION ALL SELECT '| ' || fid || ' | ' || path || ' |' FROM {files} WHERE fid < 40")
+over("f035_markdown_report", lambda f: W.report(f.select("fid", "path"), ["fid", "path"]).select("line"), "files", oracle="SELECT '| fid | path |' AS line UNION ALL SELECT '| --- | --- |' UNION ALL SELECT '| ' || fid || ' | ' || path || ' |' FROM {files}")
 over("f231_currency_keys", lambda f: S.stale_inputs(f.select("slug", _c("path").alias("version"), F.md5("brand").alias("digest")), f.where("fid % 3 <> 0").select("slug", _c("path").alias("version"), F.md5(F.when(_c("fid") % 5 == 0, "kind").otherwise(_c("brand"))).alias("digest"))).select("slug", "version"), "files", oracle="SELECT slug, path AS version FROM {files} WHERE fid % 3 = 0 OR fid % 5 = 0")
 
 

@@ -16,7 +16,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = "file://" + tempfile.mkdtemp(prefix="tessella-shared-")
         spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(named)
+    full = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
+def expires(spark: SparkSession, path: str) -> None:
+    """Delete the path when the application ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -29,11 +37,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    expires(spark, path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path through Hadoop's file system, so any store works."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
