@@ -4,7 +4,7 @@ A file holds the ids of some documents, in ascending document order. All integer
 
   magic "TPF1", block length u32, ids u64, documents u64, blocks u64
   for each block, one after another: minimum u32, width u8, exceptions u16,
-      the low `width` bits of (id - minimum), packed most significant bit first, padded to a byte,
+      the low `width` bits of (id - minimum), packed least significant bit first, padded to a byte,
       exception positions u16 each, exception high parts u32 each
   block index: the byte offset of each block u64
   document index: for each document its id count u64, then whether it has a key u8, then its key i64
@@ -13,8 +13,8 @@ A file holds the ids of some documents, in ascending document order. All integer
 The width of a block is that of the `percentile`-th of its differences: what is wider keeps its low bits in
 place and its high part in the exception list.
 
-Tokenization splits a text at white space exactly where the vocabulary's own pattern always splits it, and keeps the
-ids of pieces already met in a bounded table; ids come from the tokenizers library.
+Ids come from the tokenizers library. Latin texts are split into words here, by the vocabulary's pattern, so that the
+ids of words already met can be kept in a bounded table; other texts go to the library whole.
 
 Order: documents are dealt to range partitions by (key, hash of the text) with bounds taken from a sample, so
 that one key with very many rows still spreads; within a partition they are sorted. Ranges decide only balance.
@@ -39,51 +39,83 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tessella.llm.arrays import slices
-from tessella.llm.bpe_automaton import SPACE
+from tessella.llm.arrays import ranges, slices
+from tessella.llm.bpe_automaton import SPACE, byte_symbols
 from tessella.shipping import ship
 from tessella.storage import scratch, written
 
 BLOCK = 128
 PERCENTILE = 90
 FILE_IDS = 32 << 20
-MAX_PIECES = 250_000
-MAX_PIECE = 48
+MAX_WORDS, MAX_WORD = 400_000, 48
+#: The pattern of byte-level vocabularies, as published with them; letters and numbers before U+0250.
+LATIN, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _MAGIC = b"TPF1"
 _HEAD = struct.Struct("<4sIQQQ")
 _BLOCK_HEAD = np.dtype([("low", "<u4"), ("width", "u1"), ("odd", "<u2")])
 
 
-def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
-    """Encode whole blocks, an array of shape (blocks, block length)."""
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of integers' low bits side by side, by 64-bit words over all rows at once."""
+    n, length = values.shape
+    words = (length * width + 63) // 64
+    acc = np.zeros((words + 1, n), dtype=np.uint64)
+    columns = values.T.astype(np.uint64) & np.uint64((1 << width) - 1)
+    for j in range(length if width else 0):
+        i, shift = divmod(j * width, 64)
+        acc[i] |= columns[j] << np.uint64(shift)
+        if shift + width > 64:
+            acc[i + 1] |= columns[j] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(acc[:words].T).view(np.uint8).reshape(n, words * 8)[:, : (length * width + 7) // 8]
+
+
+def _unpacked(body: np.ndarray, length: int, width: int) -> np.ndarray:
+    n = len(body)
+    padded = np.zeros((n, (length * width + 63) // 64 * 8 + 8), dtype=np.uint8)
+    padded[:, : body.shape[1]] = body
+    acc = np.ascontiguousarray(padded.view(np.uint64).T)
+    out = np.zeros((length, n), dtype=np.uint32)
+    for j in range(length if width else 0):
+        i, shift = divmod(j * width, 64)
+        x = acc[i] >> np.uint64(shift)
+        if shift + width > 64:
+            x |= acc[i + 1] << np.uint64(64 - shift)
+        out[j] = x & np.uint64((1 << width) - 1)
+    return np.ascontiguousarray(out.T)
+
+
+def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[bytes, np.ndarray]:
+    """Encode blocks, an array of shape (blocks, block length): their bytes end to end, and how many each has."""
     n, length = ids.shape
     low = ids.min(axis=1)
     rest = (ids - low[:, None]).astype(np.uint32)
     k = min(length - 1, (length * percentile + 99) // 100 - 1)
     pivot = np.partition(rest, k, axis=1)[:, k]
     width = np.where(pivot > 0, np.floor(np.log2(np.maximum(pivot, 1).astype(np.float64))).astype(np.int64) + 1, 0)
-    out: list[bytes] = [b""] * n
+    size = _BLOCK_HEAD.itemsize
+    parts = []
     for w in np.unique(width).tolist():
         rows = np.flatnonzero(width == w)
         part = rest[rows]
         high = part >> np.uint32(w) if w < 32 else np.zeros_like(part)
-        odd = high > 0
-        counts = odd.sum(axis=1)
-        if w:
-            shifts = np.arange(w - 1, -1, -1, dtype=np.uint32)
-            bits = ((part[:, :, None] >> shifts) & np.uint32(1)).astype(np.uint8).reshape(len(rows), -1)
-            body = np.packbits(bits, axis=1)
-        else:
-            body = np.zeros((len(rows), 0), dtype=np.uint8)
+        line, column = np.nonzero(high)
+        parts.append((w, rows, np.bincount(line, minlength=len(rows)), _packed(part, w), column.astype("<u2"), high[line, column].astype("<u4")))
+    lengths = np.zeros(n, dtype=np.int64)
+    for _, rows, counts, body, _, _ in parts:
+        lengths[rows] = size + body.shape[1] + 6 * counts
+    starts = np.cumsum(lengths) - lengths
+    out = np.zeros(int(lengths.sum()), dtype=np.uint8)
+    for w, rows, counts, body, column, value in parts:
         head = np.zeros(len(rows), dtype=_BLOCK_HEAD)
         head["low"], head["width"], head["odd"] = low[rows], w, counts
-        _, column = np.nonzero(odd)
-        values, ends = high[odd], np.cumsum(counts)
-        column = column.astype("<u2")
-        for i, r in enumerate(rows.tolist()):
-            a, b = ends[i] - counts[i], ends[i]
-            out[r] = head[i].tobytes() + body[i].tobytes() + column[a:b].tobytes() + values[a:b].astype("<u4").tobytes()
-    return out
+        at = starts[rows]
+        out[at[:, None] + np.arange(size)] = head.view(np.uint8).reshape(len(rows), size)
+        out[at[:, None] + size + np.arange(body.shape[1])] = body
+        at = at + size + body.shape[1]
+        out[ranges(at, 2 * counts)] = column.view(np.uint8)
+        out[ranges(at + 2 * counts, 4 * counts)] = value.view(np.uint8)
+    return out.tobytes(), lengths
 
 
 def unpack_blocks(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -98,19 +130,12 @@ def unpack_blocks(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.nd
         for w in np.unique(heads["width"][lengths == length]).tolist():
             rows = np.flatnonzero((lengths == length) & (heads["width"] == w))
             packed = (length * w + 7) // 8
-            if w:
-                body = raw[starts[rows, None] + size + np.arange(packed)]
-                bits = np.unpackbits(body, axis=1)[:, : length * w].reshape(len(rows), length, w)
-                values = np.zeros((len(rows), length), dtype=np.uint32)
-                for j in range(w):
-                    values = (values << np.uint32(1)) | bits[:, :, j]
-            else:
-                values = np.zeros((len(rows), length), dtype=np.uint32)
-            for i in np.flatnonzero(heads["odd"][rows]).tolist():
-                r = rows[i]
-                at, n = int(starts[r]) + size + packed, int(heads["odd"][r])
-                where = np.frombuffer(data, dtype="<u2", count=n, offset=at)
-                values[i, where] |= np.frombuffer(data, dtype="<u4", count=n, offset=at + 2 * n) << np.uint32(w)
+            values = _unpacked(raw[starts[rows, None] + size + np.arange(packed)], length, w)
+            counts = heads["odd"][rows].astype(np.int64)
+            if counts.any():
+                at = starts[rows] + size + packed
+                where = raw[ranges(at, 2 * counts)].view("<u2")
+                values[np.repeat(np.arange(len(rows)), counts), where] |= raw[ranges(at + 2 * counts, 4 * counts)].view("<u4") << np.uint32(w)
             values += heads["low"][rows][:, None]
             out[(first[rows][:, None] + np.arange(length)).reshape(-1)] = values.reshape(-1)
     return out
@@ -119,17 +144,15 @@ def unpack_blocks(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 def to_bytes(ids: np.ndarray, counts: np.ndarray, keys: list[int | None], block: int = BLOCK, percentile: int = PERCENTILE) -> bytes:
     """One file's bytes. counts: ids of each document; keys: their document ids."""
     whole = len(ids) // block * block
-    blocks: list[bytes] = []
-    for a in range(0, whole, block * 4096):
-        blocks += pack_blocks(ids[a : min(whole, a + block * 4096)].reshape(-1, block), percentile)
-    if whole < len(ids):
-        blocks += pack_blocks(ids[whole:].reshape(1, -1), percentile)
-    head = _HEAD.pack(_MAGIC, block, len(ids), len(counts), len(blocks))
-    starts = len(head) + np.concatenate(([0], np.cumsum([len(b) for b in blocks])))
+    chunks = [ids[a : min(whole, a + block * 4096)].reshape(-1, block) for a in range(0, whole, block * 4096)] + [ids[whole:].reshape(1, -1)] * (whole < len(ids))
+    packed = [pack_blocks(c, percentile) for c in chunks]
+    sizes = np.concatenate([np.zeros(0, np.int64), *(n for _, n in packed)])
+    head = _HEAD.pack(_MAGIC, block, len(ids), len(counts), len(sizes))
+    starts = len(head) + np.concatenate(([0], np.cumsum(sizes)))
     index = starts[:-1].astype("<u8").tobytes()
     has = np.array([k is not None for k in keys], dtype=np.uint8)
     docs = np.asarray(counts, dtype="<u8").tobytes() + has.tobytes() + np.array([k or 0 for k in keys], dtype="<i8").tobytes()
-    return b"".join([head, *blocks, index, docs, struct.pack("<Q", int(starts[-1]))])
+    return b"".join([head, *(b for b, _ in packed), index, docs, struct.pack("<Q", int(starts[-1]))])
 
 
 class TokenFile:
@@ -168,7 +191,7 @@ class TokenFile:
 
 
 class ByteLevelEncoder:
-    """The tokenizers library behind a table of the pieces already met."""
+    """The tokenizers library's model behind a table of the words already met."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -176,26 +199,41 @@ class ByteLevelEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # the vocabulary's pattern keeps one space with the word after it and ends a piece where white space begins
-        self.runs = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
+        # the published pattern, with its classes spelled out for Latin text
+        pattern = PATTERN.replace(r"^\s\p{L}\p{N}", f"^{SPACE}{LATIN}{NUMBERS}").replace(r"\p{L}", f"[{LATIN}]").replace(r"\p{N}", f"[{NUMBERS}]")
+        self.latin = re.compile(pattern.replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")).findall
+        self.beyond = re.compile("[^\0-\u024f]").search
+        self.symbols = byte_symbols()
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # the table before the last time it was full
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def many(self, texts: list[str | None]) -> list[bytes]:
-        get = self.known.get
-        cut = [None if t and any(s in t for s in self.special) else self.runs(t or "") for t in texts]
-        missing = list({p for pieces in cut if pieces for p in pieces if p not in self.known})
-        fresh = dict(zip(missing, (np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)))) if missing else {}
-        out = [self.whole(t) if pieces is None else b"".join([get(p) or fresh[p] for p in pieces]) for t, pieces in zip(texts, cut)]
-        if len(self.known) + len(fresh) > MAX_PIECES:
-            self.known.clear()
-        if len(fresh) <= MAX_PIECES:
-            self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= MAX_PIECE)
+    def word(self, word: str) -> bytes:
+        """Ids of one word of the pattern."""
+        out = self.before.get(word)
+        if out is None:
+            symbols = "".join([self.symbols[b] for b in word.encode()])
+            ids = [t.id for t in self.model.tokenize(symbols)]
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self.known) >= MAX_WORDS:
+            self.known, self.before = {}, self.known
+        if len(word) <= MAX_WORD:
+            self.known[word] = out
         return out
 
+    def encode(self, text: str | None) -> bytes:
+        """Ids as little-endian 32-bit integers. Special tokens, and characters beyond Latin, are left to the library."""
+        if not text:
+            return b""
+        if self.beyond(text) or any(s in text for s in self.special):
+            return self.whole(text)
+        get, word = self.known.get, self.word
+        return b"".join([get(w) or word(w) for w in self.latin(text)])
+
 
 @lru_cache(maxsize=2)
 def _encoder(spec: str) -> ByteLevelEncoder:
@@ -215,7 +253,7 @@ def encode(documents: DataFrame, vocabulary: str, end_id: int = 2, id_col: str =
         encoder = _encoder(shared.value)
         for batch in batches:
             for part, _, _ in slices(batch, "text"):
-                ids = [np.frombuffer(x + end, dtype="<u4") for x in encoder.many(part.column(2).to_pylist())]
+                ids = [np.frombuffer(x + end, dtype="<u4") for x in map(encoder.encode, part.column(2).to_pylist())]
                 wide = [bool(x.max() > 65535) for x in ids]
                 packed = [x.tobytes() if w else x.astype("<u2").tobytes() for x, w in zip(ids, wide)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(wide), pa.array(packed, pa.binary())], names=["key", "h", "wide", "ids"])
