@@ -14,8 +14,8 @@ Search. Texts with equal multisets are one node, known by 128 bits. `bands` band
 buckets. Each bucket's nodes are first verified against its least node, which settles large groups of copies with
 one pair a node and bucket. Then only buckets that still hold several components go on: what lies outside a bucket's
 largest component is compared with the rest, in tiles of bounded size, by signature agreement; first the
-best partners are verified, then all that are left and agree well enough. Nothing is capped. At
-similarity 0.8 a link shares no bucket with probability 3e-6, and agreement below `agree` has 2e-5.
+best partners are verified, then all that are left and agree well enough in a longer signature. Nothing is capped. At
+similarity 0.8 a link shares no bucket with probability 3e-6, and either agreement is too low with 2e-5.
 
 Verification joins each pair with both texts' shingles and counts. Only nodes that share a bucket have them fetched.
 
@@ -39,6 +39,8 @@ from tessella.storage import written
 SHINGLE, THRESHOLD, REGISTERS, BANDS, ROWS, AGREE = 5, 0.8, 192, 24, 4, 0.68
 #: Nodes of a bucket that are compared pair by pair at once, and those of one tile of a larger one.
 SMALL, TILE, BEST = 24, 1024, 8
+#: Registers and least agreement for the nodes of larger buckets that the best partners didn't settle.
+FINE_REGISTERS, FINE_AGREE = 1024, 0.7475
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -245,6 +247,22 @@ def _cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, agree:
     return far if pairs is None else far.unionByName(pairs)
 
 
+def _finer(contents: DataFrame, registers: int) -> DataFrame:
+    """node, weight, sig: longer signatures from shingles already at hand."""
+
+    def run(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                h = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in part.column(1)]
+                counts = np.array([len(x) for x in h])
+                doc, key, count = _distinct(np.concatenate(h), counts)
+                sig = (mix(signatures(doc, key, count, len(h), registers).view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary())], names=["node", "weight", "sig"])
+
+    return contents.select("node", "h").mapInArrow(run, "node binary, weight long, sig binary")
+
+
 def sign(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, registers: int = REGISTERS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """id, node (128 bits of the multiset, null without words), weight, bands, sig (a byte of each register)."""
     ship(documents.sparkSession)
@@ -266,7 +284,12 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = written(_verified(tried, contents, threshold), "links")
     labels = components(links)
     for best in (BEST, None):
-        fresh = _cross_pairs(members.select("key", "node", "n"), nodes, labels, agree, best).distinct().join(tried, ["a", "b"], "left_anti")
+        if best is None:
+            large = members.where(F.col("n") > SMALL).select("node").distinct()
+            nodes_, agree = written(_finer(contents.join(large, "node", "left_semi"), FINE_REGISTERS), "fine-signatures"), FINE_AGREE
+        else:
+            nodes_ = nodes
+        fresh = _cross_pairs(members.select("key", "node", "n"), nodes_, labels, agree, best).distinct().join(tried, ["a", "b"], "left_anti")
         fresh = written(fresh, "pairs")
         more = written(_verified(fresh, contents, threshold), "links")
         if not more.isEmpty():

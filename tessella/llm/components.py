@@ -1,8 +1,12 @@
-"""Connected components of a link table by alternating large-star and small-star steps."""
+"""Connected components of a link table by alternating large-star and small-star steps.
+
+A table of at most `small` links is finished by one executor task instead, whose memory that number bounds.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessella.storage import written
 
@@ -22,13 +26,37 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return hung.where("a < b").distinct().select("a", "b")
 
 
-def components(links: DataFrame, name: str = "components", most: int = 60) -> DataFrame:
+def _united(batches):
+    """node, label by union-find over all batches."""
+    parent: dict = {}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.column(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = find(parent.setdefault(a, a)), find(parent.setdefault(b, b))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    if parent:
+        nodes = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([find(n) for n in nodes], kind)], names=["node", "label"])
+
+
+def components(links: DataFrame, name: str = "components", most: int = 60, small: int = 300_000) -> DataFrame:
     """node, label: the least node of the component, for every node that has a link. links: a, b (any orderable type).
 
     Each round is written to the shared folder, so that a lost executor costs one round. Rounds grow with the
     logarithm of the component's size; the steps never gather a node's neighbours in one place.
     """
     edges = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
+    if edges.count() <= small:
+        kind = edges.schema["a"].dataType
+        return written(edges.coalesce(1).mapInArrow(_united, T.StructType([T.StructField("node", kind), T.StructField("label", kind)])), name)
     state = None
     for _ in range(most):
         edges = written(_star(_star(edges, True), False), name)

@@ -13,6 +13,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
 from tessella.llm import bag_minhash, bpe_automaton, chat_format, decontamination, language_id, line_dedup, ppm, quality_additive, token_files, vantage_points  # noqa: E402
+from tessella.llm.components import components  # noqa: E402
 from tessella.llm.queries import tokenizer  # noqa: E402
 
 DOCS = "doc_id long, text string, score string, n_words string"  # with columns whose names clash
@@ -235,6 +236,15 @@ def test_bag_minhash_large_buckets_need_no_leader(spark):
     assert got == sorted(brute.near_classes(docs))
 
 
+def test_components_by_stars_and_in_one_task(spark):
+    r = random.Random(9)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 430)]
+    df = spark.createDataFrame(links, "a long, b long")
+    one, stars = (sorted(map(tuple, components(df, small=s).collect())) for s in (1000, 0))
+    assert one == stars and dict(one)[430] == 400
+    assert components(df.limit(0)).count() == 0
+
+
 def test_signatures_estimate_weighted_overlap():
     g = np.random.default_rng(2)
     keys = g.integers(1, 1 << 62, 300).astype(np.uint64)
