@@ -195,6 +195,8 @@ def _tiles(batches, agree: float, best: int | None):
         label = np.array(table.column("label").to_pylist(), dtype=object)
         weight = table.column("weight").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(len(node), -1)
+        band = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+        key = table.column("key")[0].as_py()
         odd = table.column("odd").to_numpy(zero_copy_only=False)
         names = {x: i for i, x in enumerate(sorted(set(label)))}
         comp = np.array([names[x] for x in label])
@@ -204,6 +206,8 @@ def _tiles(batches, agree: float, best: int | None):
             near = (sig[give] == sig[i]).mean(axis=1)
             fit = np.minimum(weight[give], weight[i]) >= THRESHOLD * np.maximum(weight[give], weight[i])
             ok = np.flatnonzero((near >= agree) & fit & (comp[give] != comp[i]))
+            same = band[give[ok]] == band[i]  # of the buckets that two nodes share, the first band's gives the pair
+            ok = ok[band[i][same.argmax(axis=1)] == key]
             if best is not None and len(ok) > best:
                 ok = ok[np.argsort(-near[ok], kind="stable")[:best]]
             out += [(node[i], node[give[j]]) for j in ok.tolist()]
@@ -211,7 +215,7 @@ def _tiles(batches, agree: float, best: int | None):
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        key = np.stack([table.column(c).to_numpy() for c in ("key", "s", "t")], axis=1)
+        key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "s", "t")], axis=1)
         cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(key)]):
             if a == b:
@@ -242,7 +246,7 @@ def _cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, agree:
     every = F.sequence(F.lit(0), chunks - 1)
     asking = large.where("odd").select("key", own.alias("s"), F.explode(every).alias("t"), "node", "label", F.lit(True).alias("odd"))
     giving = large.select("key", F.explode(every).alias("s"), own.alias("t"), "node", "label", F.lit(False).alias("odd"))
-    tiles = asking.unionByName(giving).join(nodes.select("node", "weight", "sig"), "node")
+    tiles = asking.unionByName(giving).join(nodes.select("node", "weight", "sig", "bands"), "node")
     far = tiles.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t").mapInArrow(lambda b: _tiles(b, agree, best), "a binary, b binary")
     return far if pairs is None else far.unionByName(pairs)
 
@@ -286,7 +290,7 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for best in (BEST, None):
         if best is None:
             large = members.where(F.col("n") > SMALL).select("node").distinct()
-            nodes_, agree = written(_finer(contents.join(large, "node", "left_semi"), FINE_REGISTERS), "fine-signatures"), FINE_AGREE
+            nodes_, agree = written(_finer(contents.join(large, "node", "left_semi"), FINE_REGISTERS).join(nodes.select("node", "bands"), "node"), "fine-signatures"), FINE_AGREE
         else:
             nodes_ = nodes
         fresh = _cross_pairs(members.select("key", "node", "n"), nodes_, labels, agree, best).distinct().join(tried, ["a", "b"], "left_anti")
