@@ -13,7 +13,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "
 
 HEADLINE = [
     "f053_three_way_merge", "f055_status_precedence", "f101_funnel", "f098_latest_counts", "f099_stage_rollup", "f034_prune", "f064_latest_per_key", "f130_version_status",
-    "f123_adjacent_versions", "f148_normalise", "f149_words", "f151_sentences", "f112_text_coverage", "f194_html_blocks", "f082_link_resolution", "f085_help_map_diff", "f129_greedy_packing", "f218_depth_first",
+    "f123_adjacent_versions", "f148_normalise", "f149_words", "f151_sentences", "f194_html_blocks", "f082_link_resolution", "f085_help_map_diff", "f129_greedy_packing", "f218_depth_first",
 ]
 
 
