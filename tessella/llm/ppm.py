@@ -9,8 +9,10 @@ where under exclusion n, t and d lack the excluded symbols. Below the empty cont
 A context's symbols are always among those of its suffix, so what exclusion leaves depends on the longer context
 alone: denominators and escapes are tables of the trie's nodes, and a batch of positions is scored by lookups.
 
-Counts cover all training text. The trie keeps at each depth the n-grams with at least one in `nodes` of all
-occurrences, so at most `nodes` of them whatever the corpus; what is not kept is part of the escape's mass.
+The trie has every n-gram of the training text, whatever its count, so it grows with the corpus. A symbol's score depends on
+its last order + 1 bytes alone: those of the most frequent n-grams are broadcast with their scores (at most `frequent`), all
+others are graded in shards of the trie and joined. A shard has the n-grams whose contexts end in the same two bytes; the
+levels below, at most 65,792 n-grams, are in every shard. A task holds one shard, or several small ones, at a time.
 
 Base score: tokens are runs of bytes other than white space, and one end for each document. Counts of all training tokens
 are exact: those of at least one in `head` occurrences are broadcast (at most `head`), all others are joined.
@@ -23,6 +25,8 @@ table gives no rows; columns other than id and text are ignored.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -31,7 +35,9 @@ from tessella.llm.arrays import LOWER, mix, slices
 from tessella.shipping import ship
 from tessella.storage import written
 
-ORDER, NODES, HEAD = 5, 1 << 21, 1 << 21
+ORDER, HEAD, FREQUENT = 5, 1 << 21, 1 << 19
+#: Context bytes that name a shard of the trie, and how many n-grams are graded at once where shards are smaller.
+SHARD, GRADED = 2, 1_000_000
 END = 0xFF
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -179,7 +185,7 @@ def _count_batches(batches, order: int):
 
 
 class Trie:
-    """Kept n-grams of each depth as lookup tables. grams: depth to (keys, counts), keys ascending."""
+    """N-grams of each depth, of all contexts or of whole shards, as lookup tables. grams: depth to (keys, counts), keys ascending."""
 
     def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]):
         self.order = len(grams) - 1
@@ -265,18 +271,81 @@ def count(documents: DataFrame, text_col: str = "text", order: int = ORDER) -> D
     return written(rows.mapInArrow(lambda b: _count_batches(b, order), "kind int, k1 long, k2 long, n long").groupBy("kind", "k1", "k2").agg(F.sum("n").alias("n")), "counts")
 
 
-def train(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> Trie:
-    """The trie of all kept n-grams; at most `nodes` a depth reach the driver, since each has one in `nodes` of all."""
-    grams = counts.where("kind = 0").select("k1", "n")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    masks = [-1 if 8 * (k + 1) >= 64 else (1 << 8 * (k + 1)) - 1 for k in range(order + 1)]
-    every = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("k1").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks)])).alias("g")
-    kept = grams.select(every, "n").groupBy("g.k", "g.key").agg(F.sum("n").alias("n")).where(F.col("n") * nodes >= total).toPandas()
-    out = []
-    for k in range(order + 1):
-        x = kept[kept["k"] == k].sort_values("key")
-        out.append((x["key"].to_numpy(np.int64).astype(np.uint64), x["n"].to_numpy(np.int64)))
-    return Trie(out)
+class Low(NamedTuple):
+    """The trie's order, and its n-grams of the levels below the shards."""
+
+    order: int
+    grams: list[tuple[np.ndarray, np.ndarray]]
+
+
+def _masked(keys: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of depth k in those of a greater depth."""
+    keys = keys & np.uint64((1 << 8 * (k + 1)) - 1)
+    by = np.argsort(keys)
+    keys = keys[by]
+    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat(counts[by], at) if len(at) else np.zeros(0, np.int64)
+
+
+def train(counts: DataFrame, order: int = ORDER) -> Low:
+    """The n-grams of the levels below the shards, at most 65,792; the levels above stay in the counts."""
+    below = min(SHARD, order)
+    key = F.col("k1").bitwiseAND(F.lit((1 << 8 * below) - 1))
+    low = counts.where("kind = 0").groupBy(key.alias("key")).agg(F.sum("n").alias("n")).toArrow()
+    keys, n = low["key"].to_numpy().astype(np.int64).view(np.uint64), low["n"].to_numpy().astype(np.int64)
+    return Low(order, [_masked(keys, n, k) for k in range(below)])
+
+
+def _graded(grams: DataFrame, asked: DataFrame, low: Low) -> DataFrame:
+    """k1, value: log10 probability of each asked n-gram's last byte after the others, by the trie of all grams (k1, n)."""
+
+    def grade(tables: list[pa.Table]):
+        t = pa.concat_tables(tables)
+        key, n = t["k1"].to_numpy().view(np.uint64), t["n"].to_numpy()
+        known = n > 0
+        ask = key[~known]
+        levels = [_masked(key[known], n[known], k) for k in range(len(low.grams), low.order + 1)]
+        return pa.RecordBatch.from_arrays([pa.array(ask.view(np.int64)), pa.array(Trie([*low.grams, *levels]).score(ask))], names=["k1", "value"])
+
+    def run(batches):
+        held: list[pa.Table] = []
+        size, last = 0, None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            shard = table["shard"].to_numpy()
+            cut = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+            for a, b in zip(cut, cut[1:]):
+                if a == b:
+                    continue
+                if size >= GRADED and shard[a] != last:
+                    yield grade(held)
+                    held, size = [], 0
+                held.append(table.slice(a, b - a))
+                size, last = size + b - a, shard[a]
+        if held:
+            yield grade(held)
+
+    shard = F.shiftrightunsigned("k1", 8).bitwiseAND(F.lit((1 << 8 * len(low.grams)) - 1)).alias("shard")
+    rows = grams.select(shard, "k1", "n").unionByName(asked.select(shard, "k1", F.lit(0).cast("long").alias("n")))
+    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "k1 long, value double")
+
+
+def _frequent(grams: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most `head` of the most frequent n-grams, ascending, and their log10 probabilities."""
+    top = 1 << 12
+    steps = sorted(grams.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count("*").alias("k"), F.sum("n").alias("all")).collect(), reverse=True)
+    least, have = -(-sum(r["all"] for r in steps) // head), 0
+    for r in steps:
+        have += r["k"]
+        if have > head:
+            break
+        least = min(least, r["n"])
+    context = F.shiftrightunsigned("k1", 8).alias("context")
+    sums = grams.groupBy(context).agg(F.log10(F.sum("n") + F.count("*")).alias("free"))
+    found = grams.where(F.col("n") >= max(least, 1)).select("k1", context, "n").join(sums, "context").select("k1", (F.log10("n") - F.col("free")).alias("value")).toArrow()
+    keys, value = found["k1"].to_numpy().astype(np.int64).view(np.uint64), found["value"].to_numpy().astype(float)
+    by = np.argsort(keys)
+    return keys[by], value[by]
 
 
 class _Head:
@@ -284,43 +353,69 @@ class _Head:
         self.table, self.k2, self.n = Table(k1), k2, n
 
 
-def score(documents: DataFrame, counts: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD) -> DataFrame:
+class _Scores:
+    """Scores of n-grams; its lookup table is built where it arrives."""
+
+    def __init__(self, keys: np.ndarray, value: np.ndarray):
+        self.keys, self.value = keys, value
+
+    def __getstate__(self):
+        return self.keys, self.value
+
+    def __setstate__(self, state):
+        self.keys, self.value = state
+        self.table = Table(self.keys)
+
+
+def _counted(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct (doc, a, b), ascending, and how often it occurs."""
+    by = np.lexsort((b, a, doc))
+    doc, a, b = doc[by], a[by], b[by]
+    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(doc) else np.zeros(0, np.int64)
+    return doc[new], a[new], b[new], np.diff(np.append(new, len(doc)))
+
+
+def score(documents: DataFrame, counts: DataFrame, low: Low, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, frequent: int = FREQUENT) -> DataFrame:
     """id, n_tokens, n_known, train_tokens, base_score, score."""
     spark = documents.sparkSession
     ship(spark)
-    words = counts.where("kind = 1")
+    grams, words = counts.where("kind = 0").select("k1", "n"), counts.where("kind = 1")
     is_end = (F.col("k1") == _END_TOKEN[0]) & (F.col("k2") == _END_TOKEN[1])
     total, kinds, end_n = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(is_end, F.col("n"))), F.lit(0))).first()
     top = words.where(F.col("n") * head >= total).select("k1", "k2", "n").toPandas().sort_values(["k1", "k2"]).drop_duplicates("k1", keep=False)
-    shared = spark.sparkContext.broadcast((trie, _Head(*(top[c].to_numpy(np.int64).view(t) for c, t in (("k1", np.uint64), ("k2", np.uint64), ("n", np.int64))))))
+    shared = spark.sparkContext.broadcast((_Scores(*_frequent(grams, frequent)), _Head(*(top[c].to_numpy(np.int64).view(t) for c, t in (("k1", np.uint64), ("k2", np.uint64), ("n", np.int64))))))
     below = float(np.log10(total + kinds + 1))
-    order = trie.order
+    order = low.order
     rows = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if not documents.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         rows = rows.dropDuplicates()
     rows = rows.withColumn("h", F.xxhash64("text"))
     kind = rows.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("h", T.LongType()), *(T.StructField(c, t) for c, t in (("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType()), ("rare", T.ArrayType(T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("tf", T.IntegerType())])))))])
+    schema = T.StructType([T.StructField("id", kind), T.StructField("h", T.LongType()), *(T.StructField(c, t) for c, t in (("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType()), ("rare", T.ArrayType(T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("tf", T.IntegerType())])))))])
 
     def run(batches):
         model, known = shared.value
         for batch in batches:
             for part, raw, offs in slices(batch, "text"):
                 key, first = symbols(raw, offs, order)
-                logs = np.add.reduceat(model.score(key), first[:-1])
-                h1, h2, doc = tokens(raw, offs)
                 n = part.num_rows
+                owner = np.repeat(np.arange(n), np.diff(first))
+                at = model.table.find(key)
+                hit = at >= 0
+                logs = np.bincount(owner[hit], model.value[at[hit]], n)[:n].astype(float)
+                deep = _counted(owner[~hit], key[~hit], np.zeros(int((~hit).sum()), np.uint64))
+                h1, h2, doc = tokens(raw, offs)
                 at = known.table.find(h1)
                 hit = at >= 0
                 hit[hit] = known.k2[at[hit]] == h2[hit]
                 base = np.bincount(doc[hit], np.log10(known.n[at[hit]] + 1.0) - below, n)[:n]
                 known_n = np.bincount(doc[hit], minlength=n)[:n]
                 miss = np.flatnonzero(~hit)
-                k = np.lexsort((h2[miss], h1[miss], doc[miss]))
-                d, a, b = doc[miss][k], h1[miss][k], h2[miss][k]
-                new = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(d) else np.zeros(0, np.int64)
-                per = np.bincount(d[new], minlength=n)[:n]
-                rare = pa.StructArray.from_arrays([pa.array(a[new].view(np.int64)), pa.array(b[new].view(np.int64)), pa.array(np.diff(np.append(new, len(d))).astype(np.int32))], names=["k1", "k2", "tf"])
+                far = _counted(doc[miss], h1[miss], h2[miss])
+                by = np.argsort(np.concatenate((deep[0], far[0])), kind="stable")
+                kind_, a, b, tf = (np.concatenate(x)[by] for x in ((np.zeros(len(deep[0]), np.int32), np.ones(len(far[0]), np.int32)), *zip(deep[1:], far[1:])))
+                per = np.bincount(deep[0], minlength=n)[:n] + np.bincount(far[0], minlength=n)[:n]
+                rare = pa.StructArray.from_arrays([pa.array(kind_), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(tf.astype(np.int32))], names=["kind", "k1", "k2", "tf"])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -336,9 +431,17 @@ def score(documents: DataFrame, counts: DataFrame, trie: Trie, id_col: str = "do
 
     scored = written(rows.mapInArrow(run, schema), "scored")
     rare = scored.select("id", "h", F.explode("rare").alias("r")).select("id", "h", "r.*")
-    rest = rare.join(words.select("k1", "k2", "n"), ["k1", "k2"], "left").groupBy("id", "h").agg(F.sum(F.col("tf") * (F.log10(F.coalesce("n", F.lit(0)) + 1.0) - below)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("also"))
+    asked = rare.where("kind = 0").select("k1").distinct()
+    graded = _graded(grams, asked, low).select(F.lit(0).alias("kind"), "k1", F.lit(0).cast("long").alias("k2"), "value")
+    values = words.select("kind", "k1", "k2", (F.log10(F.col("n") + 1.0) - below).alias("value")).unionByName(graded)
+    is_word = F.col("kind") == 1
+    rest = rare.join(values, ["kind", "k1", "k2"], "left").groupBy("id", "h").agg(
+        F.sum(F.when(is_word, F.col("tf") * F.coalesce("value", F.lit(-below)))).alias("more"),
+        F.sum(F.when(is_word & F.col("value").isNotNull(), F.col("tf"))).alias("also"),
+        F.sum(F.when(~is_word, F.col("tf") * F.col("value"))).alias("deep"),
+    )
     full = scored.drop("rare").alias("s").join(rest.alias("r"), F.col("s.id").eqNullSafe(F.col("r.id")) & (F.col("s.h") == F.col("r.h")), "left")
-    found = full.select(F.col("s.id").alias("id"), F.col("s.h").alias("h"), "n_tokens", (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+    found = full.select(F.col("s.id").alias("id"), F.col("s.h").alias("h"), "n_tokens", (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("deep", F.lit(0.0))).alias("score"))
     return found.withColumnRenamed("id", id_col)
 
 

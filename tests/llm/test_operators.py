@@ -283,3 +283,23 @@ def test_ppm_joins_what_the_head_lacks(spark):
     trie = ppm.train(counts, order=2)
     full, none = (sorted(map(tuple, ppm.score(frame(spark, rows), counts, trie, head=h).select("doc_id", "n_known", "base_score").collect())) for h in (1 << 20, 1))
     assert [(a, b) for a, b, _ in full] == [(a, b) for a, b, _ in none] and np.allclose([x[2] for x in full], [x[2] for x in none])
+
+
+def test_ppm_keeps_rare_ngrams_of_a_large_corpus(spark):
+    rows = [(0, "0" * 2_200_000), (1, "abc abd"), (3, "abd abc"), (4, "été")]
+    held = [(5, "abc abd abc"), (6, "abx"), (7, "été 00")]
+    counts = ppm.count(frame(spark, rows), order=2)
+    for options in ({}, {"frequent": 4}):
+        got = {r.doc_id: r.score for r in ppm.score(frame(spark, held), counts, ppm.train(counts, order=2), **options).collect()}
+        assert all(math.isclose(got[i], brute.ppm([x for _, x in rows], t, 2), rel_tol=1e-9) for i, t in held)
+
+
+def test_ppm_grades_in_shards(spark):
+    rows = sample(25)[:-2]
+    for order in (0, 1, 4):
+        counts = ppm.count(frame(spark, rows[:15]), order=order)
+        low = ppm.train(counts, order=order)
+        want = {i: brute.ppm([x for _, x in rows[:15]], t, order) for i, t in rows}
+        for frequent in (1 << 19, 1):
+            got = {r.doc_id: r.score for r in ppm.score(frame(spark, rows), counts, low, frequent=frequent).collect()}
+            assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
