@@ -101,7 +101,7 @@ def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, n: int, regi
             step = np.arange(drawn, drawn + block, dtype=np.uint64)
             u = mix(seed[act][:, None] + (step * np.uint64(2) + np.uint64(1)) * _GOLD)
             gap = -np.log(((u >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / (registers * width[act][:, None])
-            times = time[:, None] + (gap if block == 1 else np.cumsum(gap, axis=1))
+            times = np.cumsum(np.concatenate((time[:, None], gap), axis=1), axis=1)[:, 1:]  # one order of additions for all blocks
             r = mix(u + _GOLD)
             place = low[act][:, None] + ((r >> np.uint64(32)) * width[act].astype(np.uint64)[:, None] >> np.uint64(32)).astype(np.int64)
             register = ((r & np.uint64(0xFFFFFFFF)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)

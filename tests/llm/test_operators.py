@@ -257,6 +257,18 @@ def test_signatures_estimate_weighted_overlap():
     assert abs((sig[0] == sig[1]).mean() - true) < 0.03
 
 
+def test_signature_is_the_same_alone_and_among_others():
+    g = np.random.default_rng(3)
+    docs, size = 120, 60
+    doc = np.repeat(np.arange(docs), size)
+    keys, counts = g.integers(1, 1 << 62, docs * size).astype(np.uint64), g.integers(1, 4, docs * size)
+    for registers in (bag_minhash.REGISTERS, bag_minhash.FINE_REGISTERS):
+        together = bag_minhash.signatures(doc, keys, counts, docs, registers)
+        for d in (0, 57, docs - 1):
+            own = slice(d * size, (d + 1) * size)
+            assert (bag_minhash.signatures(np.zeros(size, np.int64), keys[own], counts[own], 1, registers)[0] == together[d]).all()
+
+
 def test_ppm(spark):
     rows = sample(40)[:-2]
     docs = [*rows, (900, None), (901, "zz\x01 never ÿ")]
