@@ -193,6 +193,22 @@ def test_chat_format_detects_rewritten_history(spark):
     assert {r.conv_id: r.rewrites for r in chat_format.format(rows, template=forgetful).collect()} == {1: True, 2: False}
 
 
+def test_chat_format_compares_whole_prefixes(spark):
+    def forty(turns):  # keeps the last 40 turns
+        return "".join(f"<{t[1]}>" for t in turns[-40:])
+
+    def guided(turns):  # wants a system turn first, then user and assistant by turns
+        assert all(t[0] == ("system" if not i else ("assistant", "user")[i % 2]) for i, t in enumerate(turns))
+        return "".join(f"{i}{t[0]}:{t[1]};" for i, t in enumerate(turns))
+
+    turns = [("system" if not i else ("assistant", "user")[i % 2], f"t{i}") for i in range(60)]
+    rows = chats(spark, [(1, i, *t, "") for i, t in enumerate(turns)] + [(2, i, *t, "") for i, t in enumerate(turns[:40])])
+    assert {r.conv_id: r.rewrites for r in chat_format.format(rows, template=forty).collect()} == {1: True, 2: False}
+    got = {r.conv_id: r for r in chat_format.format(rows, template=guided).collect()}
+    assert got[1].formatted == guided(turns) and not got[1].rewrites
+    assert [got[1].formatted[s.text_start : s.text_end] for s in got[1].spans] == [t[1] for t in turns]
+
+
 def test_line_dedup(spark):
     rows = sample()
     docs = [*rows, (900, None), (901, rows[3][1] + "\n" + rows[3][1])]
