@@ -39,3 +39,17 @@ def f152_sentence_present_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = docs.select((_c("doc_id") + 1).alias("doc_id"), F.lower("text").alias("other"))
     found = F.transform(X.sentences(_c("text")), lambda s: F.struct(s.alias("sentence"), F.contains("other", F.lower(s)).alias("value")))
     return docs.join(before, "doc_id").select("doc_id", F.explode(found).alias("e")).select("doc_id", "e.*")
+
+
+@query()
+def f196_markdown_blocks_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of whole texts; tests hold them against a parser of their own."""
+    return relation(spark, sf_dir, "documents").select("doc_id", F.posexplode(D.markdown_blocks(_c("text"))).alias("pos", "block"))
+
+
+@query("SELECT 'n_nationkey=' || n_nationkey AS folder, length(n_name) + 1 AS bytes FROM {nation}")
+def f014_listing_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of one file of known size for each nation, listed."""
+    path = scratch(spark, "listing")
+    relation(spark, sf_dir, "nation").select("n_nationkey", "n_name").repartition(1).write.partitionBy("n_nationkey").text(path)
+    return R.listing(spark, path).select(P.parent(_c("path")).alias("folder"), "bytes")

@@ -92,7 +92,9 @@ def archive_conflicts(members: DataFrame) -> DataFrame:
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """Every file under a root: path relative to it, bytes. Contents are not read."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return df.select(F.regexp_replace(F.replace("path", F.lit(root.rstrip("/")), F.lit("")), "^[a-z]*:?/+", "").alias("path"), F.col("length").alias("bytes"))
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    full = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")  # as Spark spells it
+    return df.select(F.substr("path", F.lit(len(full) + 2)).alias("path"), F.col("length").alias("bytes"))
 
 
 def published(files: DataFrame) -> DataFrame:

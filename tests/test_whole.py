@@ -1,12 +1,14 @@
 """Queries over every row of their main input."""
 
+import re
+
 import pytest
 
 from tessella.plans import registry
 from tessella.plans.model import relation
 
 
-@pytest.mark.parametrize("name, main", [("f032_append_all", "findings"), ("f262_rename_rows_all", "files"), ("f076_longest_suffix_all", "files"), ("f073_version_suffix_all", "versions"), ("f069_origin_rows_all", "files"), ("f020_help_map_all", "ids")])
+@pytest.mark.parametrize("name, main", [("f032_append_all", "findings"), ("f262_rename_rows_all", "files"), ("f076_longest_suffix_all", "files"), ("f073_version_suffix_all", "versions"), ("f069_origin_rows_all", "files"), ("f020_help_map_all", "ids"), ("f014_listing_all", "nation")])
 def test_every_row_is_taken(spark, sf, name, main):
     assert registry.QUERIES[name](spark, sf).count() == relation(spark, sf, main).count() > 0
 
@@ -14,3 +16,24 @@ def test_every_row_is_taken(spark, sf, name, main):
 def test_sentences_after_the_first_line_are_looked_for(spark, sf):
     found = registry.QUERIES["f152_sentence_present_all"](spark, sf)
     assert found.count() > 2 * found.select("doc_id").distinct().count()
+
+
+def blocks(text):
+    text = re.sub(r"(?s)```.*?```", "", re.sub(r"(?s)\A---\n.*?\n---\n", "", text))
+    out = []
+    for part in re.split(r"\n[ \t\n\x0b\f\r]*\n", re.sub(r"(?m)^[ \t\n\x0b\f\r]*([-*+] |[0-9]+[.)] |#+ |> )", "\n\n", text)):
+        part = re.sub("<[^>]*>", "", re.sub(r"\[([^\]]*)\]\([^)]*\)", r"\1", re.sub(r"!\[[^\]]*\]\([^)]*\)", "", part)))
+        for entity, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+            part = part.replace(entity, plain)
+        part = re.sub(r"[ \t\n\x0b\f\r]+", " ", part).strip(" ")
+        if part:
+            out.append(part)
+    return out
+
+
+def test_markdown_blocks_of_whole_texts(spark, sf):
+    got = {}
+    for r in registry.QUERIES["f196_markdown_blocks_all"](spark, sf).orderBy("doc_id", "pos").collect():
+        got.setdefault(r.doc_id, []).append(r.block)
+    want = {r.doc_id: blocks(r.text or "") for r in relation(spark, sf, "documents").collect()}
+    assert got == {d: b for d, b in want.items() if b}
