@@ -274,7 +274,9 @@ def sign(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, agree: float = AGREE) -> DataFrame:
-    """id, class_id for each row: the least id of the row's class."""
+    """id, class_id for each row: the least id of the row's class. Bands and agreements are made for links of 0.8 or more."""
+    if threshold < THRESHOLD:
+        raise ValueError(f"threshold {threshold}: links below {THRESHOLD} would be missed")
     signed = written(sign(documents, id_col, text_col, shingle), "signatures")
     found = signed.where("node is not null")
     nodes = written(found.groupBy("node").agg(F.min("id").alias("id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "nodes")

@@ -252,6 +252,11 @@ def test_bag_minhash_large_buckets_need_no_leader(spark):
     assert got == sorted(brute.near_classes(docs))
 
 
+def test_bag_minhash_refuses_thresholds_it_would_not_honour(spark):
+    with pytest.raises(ValueError):
+        bag_minhash.classes(frame(spark, [(1, "a b c")]), threshold=0.5)
+
+
 def test_components_by_stars_and_in_one_task(spark):
     r = random.Random(9)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 430)]
