@@ -134,21 +134,22 @@ def _sign_batches(batches, registers: int, bands: int, rows: int, size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(part.schema.get_field_index("id")),
+                    part.column(part.schema.get_field_index("text_hash")),
                     null(pa.array([x.tobytes() for x in prints.astype(">u8")], pa.binary())),
                     pa.array(counts, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band.view(np.int64).reshape(-1))),
                     pa.array([x.tobytes() for x in (sig >> np.uint64(56)).astype(np.uint8)], pa.binary()),
                 ],
-                names=["id", "node", "weight", "bands", "sig"],
+                names=["id", "text_hash", "node", "weight", "bands", "sig"],
             )
 
 
 def _identified(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("id"), F.col(text_col).alias("text"))
+    return documents.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
 
 def _contents(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node, h (its shingles' hashes, ascending) of the wanted nodes; wanted: node, id of a row that has it."""
+    """node, h (its shingles' hashes, ascending) of the wanted nodes; wanted: node, id and text_hash of a row that has it."""
 
     def run(batches):
         for batch in batches:
@@ -157,7 +158,7 @@ def _contents(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 ends = np.cumsum(counts)
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("node")), pa.array([h[a:b].tobytes() for a, b in zip(ends - counts, ends)], pa.binary())], names=["node", "h"])
 
-    return documents.join(wanted, "id").select("node", "text").mapInArrow(run, "node binary, h binary")
+    return documents.join(wanted, ["id", "text_hash"]).select("node", "text").mapInArrow(run, "node binary, h binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> float:
@@ -268,22 +269,27 @@ def _finer(contents: DataFrame, registers: int) -> DataFrame:
 
 
 def sign(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, registers: int = REGISTERS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, node (128 bits of the multiset, null without words), weight, bands, sig (a byte of each register)."""
+    """id, text_hash, node (128 bits of the multiset, null without words), weight, bands, sig (a byte of each register)."""
     ship(documents.sparkSession)
-    return _identified(documents, id_col, text_col).mapInArrow(lambda b: _sign_batches(b, registers, bands, rows, shingle), "id long, node binary, weight long, bands array<long>, sig binary")
+    return _identified(documents, id_col, text_col).mapInArrow(lambda b: _sign_batches(b, registers, bands, rows, shingle), "id long, text_hash long, node binary, weight long, bands array<long>, sig binary")
 
 
-def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, agree: float = AGREE) -> DataFrame:
-    """id, class_id for each row: the least id of the row's class. Bands and agreements are made for links of 0.8 or more."""
+def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """id, class_id for each row: the least id of the row's class."""
+    return _classes(documents, id_col, text_col, **options).select(F.col("id").alias(id_col), F.col("least.id").alias("class_id"))
+
+
+def _classes(documents: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, threshold: float = THRESHOLD, agree: float = AGREE) -> DataFrame:
+    """id, text_hash, least (id and text_hash of the class's least row) for each row. Bands and agreements are made for links of 0.8 or more."""
     if threshold < THRESHOLD:
         raise ValueError(f"threshold {threshold}: links below {THRESHOLD} would be missed")
     signed = written(sign(documents, id_col, text_col, shingle), "signatures")
     found = signed.where("node is not null")
-    nodes = written(found.groupBy("node").agg(F.min("id").alias("id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "nodes")
+    nodes = written(found.groupBy("node").agg(F.min(F.struct("id", "text_hash")).alias("row"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "nodes").select("*", "row.id", "row.text_hash")
     placed = nodes.select("node", "weight", F.explode("bands").alias("key"))
     shared = placed.groupBy("key").agg(F.min("node").alias("leader"), F.min_by("weight", "node").alias("leader_weight"), F.count("*").alias("n")).where("n > 1")
     members = written(placed.join(shared, "key"), "buckets")
-    wanted = members.select("node").distinct().join(nodes.select("node", "id"), "node")
+    wanted = members.select("node").distinct().join(nodes.select("node", "id", "text_hash"), "node")
     contents = written(_contents(_identified(documents, id_col, text_col), wanted, shingle).dropDuplicates(["node"]), "shingles")
     fits = F.least("weight", "leader_weight") >= F.greatest("weight", "leader_weight") * threshold
     tried = written(members.where((F.col("node") != F.col("leader")) & fits).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
@@ -301,18 +307,19 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if not more.isEmpty():
             tried, links = tried.unionByName(fresh), links.unionByName(more)
             labels = components(links)
-    labelled = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
-    least = labelled.groupBy("label").agg(F.min("id").alias("class_id"))
-    named = labelled.join(least, "label").select("node", "class_id")
-    return signed.select("id", "node").join(named, "node", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
+    labelled = nodes.select("node", "row").join(labels, "node", "left").select("node", "row", F.coalesce("label", "node").alias("label"))
+    least = labelled.groupBy("label").agg(F.min("row").alias("least"))
+    named = labelled.join(least, "label").select("node", "least")
+    return signed.select("id", "text_hash", "node").join(named, "node", "left").select("id", "text_hash", F.coalesce("least", F.struct("id", "text_hash")).alias("least"))
 
 
 def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, same columns, without those of a class whose id isn't its least; of rows with equal id and text one."""
-    found = written(classes(documents, id_col, text_col, **options), "classes")
-    later = found.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("_later")).distinct()
+    """The documents, same columns, without those that aren't their class's least by id and text hash; of rows with equal id and text one."""
+    found = written(_classes(documents, id_col, text_col, **options), "classes")
+    row = F.struct("id", "text_hash")
+    later = found.where(row != F.col("least")).select(F.col("id").alias("_later"), F.col("text_hash").alias("_text")).distinct()
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col))
-    kept = documents.join(later, key == F.col("_later"), "left_anti")
-    if found.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+    kept = documents.join(later, (key == F.col("_later")) & (F.xxhash64(text_col) == F.col("_text")), "left_anti")
+    if found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         return kept
     return kept.dropDuplicates([id_col, text_col])

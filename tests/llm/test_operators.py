@@ -257,6 +257,14 @@ def test_bag_minhash_refuses_thresholds_it_would_not_honour(spark):
         bag_minhash.classes(frame(spark, [(1, "a b c")]), threshold=0.5)
 
 
+def test_bag_minhash_tells_rows_of_one_id_apart_by_text(spark):
+    words = [f"w{i}" for i in range(200)]
+    first, near, other = " ".join(words), " ".join([*words[:-1], "x"]), " ".join(reversed(words))
+    docs = [(1, first), (5, near), (5, other), (6, other + " y"), (7, "lone words")]
+    kept = bag_minhash.keep_one(frame(spark, docs)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, first), (5, other), (7, "lone words")])
+
+
 def test_components_by_stars_and_in_one_task(spark):
     r = random.Random(9)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 430)]
