@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+#: Bytes whose word hashes are computed at once: what the tables of powers have to reach, but for a single longer word.
+HASH_BYTES = 256 << 10
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -25,14 +27,14 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """r**0 .. r**(n-1) modulo 2**64, or those of the inverse of r; grown as needed and kept."""
+    """r**0 .. r**(n-1) modulo 2**64, or those of the inverse of r; 2 MB of them are kept."""
     key = "inverse" if inverse else "radix"
     have = _powers.get(key)
     if have is None or len(have) < n:
-        have = np.full(max(n, SLICE_BYTES + 1), _RADIX_INV if inverse else _RADIX, dtype=np.uint64)
+        have = np.full(max(n, HASH_BYTES), _RADIX_INV if inverse else _RADIX, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if n <= SLICE_BYTES * 8:
+        if len(have) == HASH_BYTES:
             _powers[key] = have
     return have[:n]
 
@@ -87,9 +89,16 @@ class Words:
         self.doc = np.searchsorted(offs, self.start, side="right") - 1
         self.per_doc = np.bincount(self.doc, minlength=len(offs) - 1)
         self.first = np.concatenate(([0], np.cumsum(self.per_doc)))  # of each document, among all words
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_CODE[low] * powers(n), out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * powers(n, inverse=True)[self.start]) if n else np.zeros(0, np.uint64)
+        self.hash = np.zeros(len(self.start), dtype=np.uint64)
+        a = 0
+        while a < len(self.start):
+            base = int(self.start[a])
+            b = max(a + 1, int(np.searchsorted(self.end, base + HASH_BYTES - 1, side="right")))
+            start, end = self.start[a:b] - base, self.end[a:b] - base
+            total = np.zeros(int(end[-1]) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE_CODE[low[base : base + int(end[-1])]] * powers(len(total) - 1), out=total[1:])
+            self.hash[a:b] = mix((total[end] - total[start]) * powers(len(total) - 1, inverse=True)[start])
+            a = b
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(index of first word, hash) of every run of `size` words within one document."""

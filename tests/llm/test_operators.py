@@ -79,6 +79,24 @@ def test_bpe_automaton_matches_the_library(spark):
     assert bpe_automaton.report(frame(spark, []), path).count() == 0
 
 
+def test_bpe_tables_are_bounded_and_released():
+    spec = bpe_automaton._spec(tokenizer("word_bpe_49k.json"))
+    texts = [t for _, t in sample()]
+    with bpe_automaton._encoder(spec) as encoder:
+        want = [encoder.encode(t) for t in texts]
+        assert encoder.known and encoder.automaton.steps
+    kept = next(iter(bpe_automaton._compiled.values()))
+    assert not kept.known and not kept.before and not kept.automaton.steps and len(kept.automaton.configs) == 1
+    limits = bpe_automaton.MAX_STEPS, bpe_automaton.MAX_PIECES
+    bpe_automaton.MAX_STEPS, bpe_automaton.MAX_PIECES = 50, 7
+    try:
+        with bpe_automaton._encoder(spec) as encoder:
+            assert [encoder.encode(t) for t in texts] == want
+            assert len(encoder.known) <= 7 and len(encoder.before) <= 7 and len(encoder.automaton.steps) <= 50 + 600
+    finally:
+        bpe_automaton.MAX_STEPS, bpe_automaton.MAX_PIECES = limits
+
+
 def test_token_files(spark, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     path = tokenizer("byte_bpe_50k.json")
