@@ -1,20 +1,29 @@
-"""Line dedup: later copies of repeated line runs go, found by distributed prefix doubling.
+"""Line dedup: later copies of repeated line runs go, found by a suffix array with its longest common prefixes.
 
 Lines are what stands between newlines. A run of consecutive lines with at least `min_words` words (white-space
 separated) that also occurs earlier - in a document with a smaller id, or further up in the same document - is a later
 copy, and all its lines are deleted. That is every line of each maximal repeated run but its first occurrence.
 
-Positions whose line occurs once cannot belong to a repeated run, so the suffix array is built over the others alone.
-Doubling names, round by round, the blocks of 1, 2, 4, ... lines that begin at a position: two positions have the same
-name exactly if they lie in one LCP interval of that depth. A round is one aggregation over pairs of names and one
-join; no order of all suffixes is needed, since only equality and first occurrence matter. Rounds end at the
-depth that the longest shortest run needs.
+Positions whose line occurs once cannot belong to a repeated run, so the suffix array is built over the others alone,
+and of those over stretches with enough words. A suffix ends where its stretch does.
 
-Any later copy is the union of the shortest runs of `min_words` words that begin, and those that end, at its lines. A run
-of m lines is known by m and the names of the two blocks of 2^k <= m lines at its ends. The first occurrence
-of each such run is a minimum over its LCP interval; all others are deleted.
+Suffix array. A line's rank is its place among the distinct lines. Prefix doubling ranks, round by round, the blocks of
+2, 4, 8, ... lines that begin at each position: the rank of a block is the place of the pair (rank of its first half,
+rank of its second) among all distinct pairs, found by one distributed sort. Suffixes with equal ranks after the last
+round are one entry of the array. Rounds end at the depth that the longest shortest run needs.
 
-All tables here grow with the corpus, so every join is told to shuffle, at any size; none is broadcast.
+Longest common prefixes. Each entry and the one before it go down the rounds together: where the first halves differ they
+are compared on, else the second halves are and the block's length is added. A round is two joins on ranks.
+
+Intervals. Any later copy is the union of the shortest runs of `min_words` words that begin, and those that end, at its
+lines. The occurrences of a run of m lines are the entries around its own between which no common prefix is shorter
+than m: an LCP interval, known by the entry where it begins. One scan over the sorted array finds it on a stack;
+what a partition cannot settle the stacks of those before it do. The first occurrence of a run is a minimum over its
+interval, all others are deleted, as spans of lines.
+
+Memory. Every table grows with the corpus, so every join is told to shuffle, at any size; none is broadcast. A scan's stack
+holds ascending common prefixes, so at most as many entries as the longest shortest run has lines; only these stacks, one
+for each partition, reach the driver. A document's own lines are held by one task.
 
 Defined results: a null text stays null; an empty text is one empty line; a row without an id is ordered by its
 text's hash; rows with equal id and text are one document, given out as often as they occur, with the same result; an
@@ -23,6 +32,7 @@ empty table gives no rows; other columns are kept by `clean` and ignored by `rep
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,7 +80,7 @@ def _runs(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shortest(batches, min_words: int):
-    """Add to each line how many lines the shortest long enough run has that begins (fore) or ends (back) there."""
+    """Add to each line its stretch (run) and how many lines the shortest long enough run has that begins (fore) or ends (back) there."""
     for x in _whole_keys(batches):
         a, b = _runs(x)
         total = np.cumsum(x["w"])
@@ -81,24 +91,67 @@ def _shortest(batches, min_words: int):
         start = np.searchsorted(before, total - min_words, side="right") - 1
         back = np.where(start >= a, i - start + 1, 0)
         keep = np.bincount(a, fore, minlength=len(a))[a] > 0
-        yield pa.RecordBatch.from_pydict({"d1": x["d1"][keep], "d2": x["d2"][keep], "pos": x["pos"][keep], "fore": fore[keep].astype(np.int32), "back": back[keep].astype(np.int32), "n0": x["name"][keep]})
+        yield pa.RecordBatch.from_pydict({"d1": x["d1"][keep], "d2": x["d2"][keep], "run": a[keep].astype(np.int32), "pos": x["pos"][keep], "fore": fore[keep].astype(np.int32), "back": back[keep].astype(np.int32), "rank": x["rank"][keep]})
 
 
-def _classes(batches, depth: int):
-    """The runs to compare: where each begins, its lines, and the names of its two end blocks."""
+def _queries(batches):
+    """The runs to look up: where each begins, its lines, and its entry of the suffix array."""
     for x in _whole_keys(batches):
-        names = np.stack([x[f"n{k}"] for k in range(depth + 1)])
         i = np.arange(len(x["pos"]))
-        out = []
-        for size, start in ((x["fore"], i), (x["back"], i - x["back"] + 1)):
-            here = np.flatnonzero(size > 0)
-            m, s = size[here].astype(np.int64), start[here]
-            k = np.floor(np.log2(m)).astype(np.int64)
-            out.append((s, m, names[k, s], names[k, s + m - (1 << k)]))
-        s, m, left, right = (np.concatenate(p) for p in zip(*out))
-        key = np.unique(np.stack([s, m]), axis=1, return_index=True)[1]
-        s, m, left, right = s[key], m[key], left[key], right[key]
-        yield pa.RecordBatch.from_pydict({"d1": x["d1"][s], "d2": x["d2"][s], "pos": x["pos"][s], "m": m.astype(np.int32), "a": left, "b": right})
+        fore, back = np.flatnonzero(x["fore"] > 0), np.flatnonzero(x["back"] > 0)
+        s = np.concatenate((fore, i[back] - x["back"][back] + 1))
+        m = np.concatenate((x["fore"][fore], x["back"][back])).astype(np.int64)
+        s, m = np.unique(np.stack([s, m]), axis=1)
+        yield pa.RecordBatch.from_pydict({"d1": x["d1"][s], "d2": x["d2"][s], "pos": x["pos"][s], "m": m.astype(np.int32), "g": x["rank"][s]})
+
+
+_SCANNED = pa.schema([("part", pa.int32()), ("g", pa.int64()), ("m", pa.int32()), ("lcp", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("pos", pa.int32()), ("n", pa.int64()), ("low", pa.int64())])
+
+
+def _scan(batches):
+    """Rows sorted by (g, m): an entry's common prefix with the one before it (m = 0), then the runs looked up there.
+
+    Gives each run the entry `low` where its interval begins, null where that lies in an earlier partition; at the end,
+    as rows without m, the stack: entries with ascending common prefixes.
+    """
+    part, at, depth = -1, [], []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = batch.column(0)[0].as_py()
+        g, m, lcp = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("g", "m", "lcp"))
+        low = [None] * len(g)
+        for i, length in enumerate(m):
+            if length:
+                k = bisect_left(depth, length) - 1
+                if k >= 0:
+                    low[i] = at[k]
+            else:
+                while depth and depth[-1] >= lcp[i]:
+                    depth.pop()
+                    at.pop()
+                depth.append(lcp[i])
+                at.append(g[i])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low, pa.int64())], schema=_SCANNED).filter(pa.array([x > 0 for x in m], pa.bool_()))
+    if at:
+        stack = {"part": [part] * len(at), "g": at, "lcp": depth}
+        yield pa.RecordBatch.from_arrays([pa.array(stack[f.name], f.type) if f.name in stack else pa.nulls(len(at), f.type) for f in _SCANNED], schema=_SCANNED)
+
+
+def _carried(spark, stacks: list, parts: list[int], deepest: int) -> DataFrame:
+    """part, over, upto, low: for runs of more than `over` and at most `upto` lines, where an interval open before the part begins."""
+    rows, stack, ahead = [], [], {}
+    for r in sorted(stacks, key=lambda r: (r.part, r.g)):
+        ahead.setdefault(r.part, []).append((r.lcp, r.g))
+    for part in sorted(set(parts) | set(ahead)):
+        if part in parts:
+            ends = [x[0] for x in stack[1:]] + [deepest]
+            rows += [(part, over, upto, low) for (over, low), upto in zip(stack, ends)]
+        for lcp, g in ahead.get(part, []):
+            while stack and stack[-1][0] >= lcp:
+                stack.pop()
+            stack.append((lcp, g))
+    return spark.createDataFrame(rows, "part int, over int, upto int, low long")
 
 
 def _identified(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -111,38 +164,81 @@ def _lines(documents: DataFrame, text_col: str) -> DataFrame:
     return rows.select("d1", "d2", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.regexp_count("line", F.lit(r"\S+")).alias("w"))
 
 
-def _named(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """A number of its own for each distinct key that occurs more than once."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys, F.monotonically_increasing_id().alias(name))
-    return written(groups, "names")  # numbered once
+def _ranked(keys: DataFrame) -> DataFrame:
+    """The distinct keys with their rank: ascending numbers in the order of the keys."""
+    return written(keys.distinct().orderBy(*keys.columns).withColumn("rank", F.monotonically_increasing_id()), "ranks")  # numbered once
+
+
+def _active(lines: DataFrame) -> DataFrame:
+    """d1, d2, pos, w, rank of the lines that occur again. The empty line, the most common of all, has the rank -1 without a join."""
+    empty = F.struct(F.xxhash64(F.lit("")).alias("h1"), F.xxhash64(F.lit(1), F.lit("")).alias("h2"))
+    is_empty = (F.col("h1") == empty["h1"]) & (F.col("h2") == empty["h2"])
+    some = lines.where(~is_empty)
+    again = _ranked(some.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"))
+    found = some.join(again.hint("merge"), ["h1", "h2"]).select("d1", "d2", "pos", "w", "rank")
+    return found.unionByName(lines.where(is_empty).select("d1", "d2", "pos", "w", F.lit(-1).cast("long").alias("rank")))
+
+
+def _common_prefixes(levels: list[DataFrame], entries: DataFrame) -> DataFrame:
+    """g, lcp: of each entry of the suffix array (rank) the lines that it shares with the one before it."""
+    part = F.shiftright("rank", 33)
+    ends = entries.groupBy(part.alias("part")).agg(F.max("rank").alias("last"))  # as many rows as the sort had partitions
+    before = ends.select((F.lead("part").over(Window.orderBy("part"))).alias("part"), "last")
+    first = F.col("rank").bitwiseAND((1 << 33) - 1) == 0
+    pairs = entries.select("rank", part.alias("part")).join(before.where("part is not null").hint("merge"), "part", "left")
+    pairs = pairs.select(F.col("rank").alias("g"), F.when(first, F.col("last")).otherwise(F.col("rank") - 1).alias("x"), F.col("rank").alias("y"), F.lit(0).alias("lcp"))
+    for k in range(len(levels), 0, -1):
+        halves = levels[k - 1]
+        x, y = (halves.select(F.col("rank").alias(c), F.col("p").alias(f"p{c}"), F.col("q").alias(f"q{c}")) for c in "xy")
+        both = pairs.join(x.hint("merge"), "x", "left").join(y.hint("merge"), "y", "left")
+        same = F.col("px") == F.col("py")
+        down = lambda c: F.when(F.col(c) < -1, F.col(c)).when(same, F.col(f"q{c}")).otherwise(F.col(f"p{c}"))
+        pairs = written(both.select("g", down("x").alias("x"), down("y").alias("y"), (F.col("lcp") + F.when(same, 1 << (k - 1)).otherwise(0)).alias("lcp")), "line-prefixes")
+    return pairs.select("g", "lcp")
 
 
 def deletions(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """d1, d2 (a document's id and text hash) and gone, the line numbers to delete, ascending."""
-    ship(documents.sparkSession)
+    """d1, d2 (a document's id and text hash) and gone: the spans (first line, line past the last) to delete, ascending and apart."""
+    spark = documents.sparkSession
+    ship(spark)
     lines = _lines(_identified(documents, id_col, text_col), text_col)
     if _repeats(documents, id_col):
         lines = lines.dropDuplicates(["d1", "d2", "pos"])
-    again = _named(lines, ["h1", "h2"], "name")
-    active = lines.join(again.hint("merge"), ["h1", "h2"]).select("d1", "d2", "pos", "w", "name")
     order = ["d1", "d2", "pos"]
-    long = "d1 long, d2 long, pos int, fore int, back int, n0 long"
-    blocks = written(active.repartition("d1", "d2").sortWithinPartitions(*order).mapInArrow(lambda b: _shortest(b, min_words), long), "line-blocks")
-    most = blocks.agg(F.max(F.greatest("fore", "back"))).first()[0] or 1
-    depth = int(np.log2(most))
-    for k in range(depth):
-        ahead = F.lead(f"n{k}", 1 << k).over(Window.partitionBy("d1", "d2", "run").orderBy("pos"))
-        run = F.col("pos") - F.row_number().over(Window.partitionBy("d1", "d2").orderBy("pos"))
-        paired = written(blocks.withColumn("run", run).withColumn("_next", ahead).drop("run"), "line-pairs")
-        names = _named(paired.where("_next is not null").select(F.col(f"n{k}").alias("p"), F.col("_next").alias("q")), ["p", "q"], f"n{k + 1}")
-        joined = paired.join(names.hint("merge"), (F.col(f"n{k}") == F.col("p")) & (F.col("_next") == F.col("q")), "left").drop("p", "q", "_next")
-        # a block that occurs once is like no other: give it a number below all names
-        blocks = written(joined.withColumn(f"n{k + 1}", F.coalesce(f"n{k + 1}", -1 - F.monotonically_increasing_id())), "line-blocks")
-    runs = written(blocks.repartition("d1", "d2").sortWithinPartitions(*order).mapInArrow(lambda b: _classes(b, depth), "d1 long, d2 long, pos int, m int, a long, b long"), "line-runs")
-    first = runs.groupBy("m", "a", "b").agg(F.min(F.struct(*order)).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = runs.join(first.hint("merge"), ["m", "a", "b"]).where(F.struct(*order) > F.col("first"))
-    gone = later.groupBy("d1", "d2").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("m") - 1))))).alias("gone"))
-    return written(gone, "line-deletions")
+    suffixes = _active(lines).repartition("d1", "d2").sortWithinPartitions(*order).mapInArrow(lambda b: _shortest(b, min_words), "d1 long, d2 long, run int, pos int, fore int, back int, rank long")
+    suffixes = written(suffixes, "line-suffixes")
+    deepest = suffixes.agg(F.max(F.greatest("fore", "back"))).first()[0] or 1
+    levels = []
+    for k in range(max(0, int(deepest) - 1).bit_length()):
+        ahead = F.lead("rank", 1 << k, -2).over(Window.partitionBy("d1", "d2", "run").orderBy("pos"))  # -2: the suffix has ended
+        paired = written(suffixes.withColumn("q", ahead).withColumnRenamed("rank", "p"), "line-pairs")
+        levels.append(_ranked(paired.select("p", "q")))
+        suffixes = paired.join(levels[-1].hint("merge"), ["p", "q"]).drop("p", "q")
+    suffixes = written(suffixes, "line-suffixes")
+    entries = levels[-1] if levels else _ranked(suffixes.select(F.col("rank").alias("p"))).select(F.col("p").alias("name"), "rank")
+    if not levels:
+        suffixes = suffixes.withColumnRenamed("rank", "name").join(entries.hint("merge"), "name")
+    prefixes = _common_prefixes(levels, entries)
+    runs = written(suffixes.select(*order, "fore", "back", "rank").repartition("d1", "d2").sortWithinPartitions(*order).mapInArrow(_queries, "d1 long, d2 long, pos int, m int, g long"), "line-runs")
+    asked = runs.groupBy("g", "m").agg(F.min(F.struct(*order)).alias("first"), F.count("*").alias("n"))
+    array = prefixes.select("g", F.lit(0).alias("m"), "lcp", *[F.lit(None).cast(t).alias(c) for c, t in (("d1", "long"), ("d2", "long"), ("pos", "int"), ("n", "long"))])
+    array = array.unionByName(asked.select("g", "m", F.lit(None).cast("int").alias("lcp"), "first.*", "n"))
+    array = array.repartitionByRange("g").sortWithinPartitions("g", "m").select(F.spark_partition_id().alias("part"), "*")
+    scanned = written(array.mapInArrow(_scan, "part int, g long, m int, lcp int, d1 long, d2 long, pos int, n long, low long"), "line-intervals")
+    settled, open_ = scanned.where("low is not null"), scanned.where("m is not null and low is null")
+    parts = [r.part for r in open_.select("part").distinct().collect()]
+    if parts:
+        carried = _carried(spark, scanned.where("m is null").select("part", "g", "lcp").collect(), parts, int(deepest))
+        found = open_.drop("low").join(carried.hint("merge"), "part").where("m > over and m <= upto").drop("over", "upto")
+        settled = settled.unionByName(found.select(*settled.columns))
+    interval = written(settled.groupBy("low", "m").agg(F.min(F.struct(*order)).alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n"), "line-firsts")
+    firsts = written(settled.select("g", "m", "low").join(interval.hint("merge"), ["low", "m"]).drop("low"), "line-firsts")
+    later = runs.join(firsts.hint("merge"), ["g", "m"]).where(F.struct(*order) > F.col("first")).select("d1", "d2", "pos", (F.col("pos") + F.col("m")).alias("end"))
+    row = Window.partitionBy("d1", "d2").orderBy("pos", "end")
+    reach = F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    islands = later.withColumn("new", F.when(F.col("pos") <= reach, 0).otherwise(1)).withColumn("island", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = islands.groupBy("d1", "d2", "island").agg(F.min("pos").alias("begin"), F.max("end").alias("end"))
+    return written(spans.groupBy("d1", "d2").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("gone")), "line-deletions")
 
 
 def _repeats(documents: DataFrame, id_col: str) -> bool:
@@ -151,10 +247,16 @@ def _repeats(documents: DataFrame, id_col: str) -> bool:
 
 
 def _applied(documents: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """Adds _kept, the text without its spans, and _removed, how many lines went."""
     gone = deletions(documents, id_col, text_col, min_words)
     rows = _identified(documents, id_col, text_col).join(gone.withColumnsRenamed({"d1": "_d1", "d2": "_d2", "gone": "_gone"}).hint("merge"), ["_d1", "_d2"], "left")
-    kept = F.array_join(F.filter(F.split(text_col, "\n", -1), lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    return rows.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col(text_col)).when(F.size("_gone") == F.size(F.split(text_col, "\n", -1)), "").otherwise(kept))
+    lines = F.split(text_col, "\n", -1)
+    begin = F.concat(F.array(F.lit(0)), F.transform("_gone", lambda x: x["end"]))
+    end = F.concat(F.transform("_gone", lambda x: x["begin"]), F.array(F.size(lines)))
+    stays = F.filter(F.arrays_zip(begin.alias("begin"), end.alias("end")), lambda x: x["end"] > x["begin"])
+    kept = F.array_join(F.flatten(F.transform(stays, lambda x: F.slice(lines, x["begin"] + 1, x["end"] - x["begin"]))), "\n")
+    removed = F.aggregate("_gone", F.lit(0), lambda n, x: n + x["end"] - x["begin"])
+    return rows.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)).withColumn("_removed", F.coalesce(removed, F.lit(0)))
 
 
 def clean(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, drop_emptied: bool = True) -> DataFrame:
@@ -168,4 +270,4 @@ def clean(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def report(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """id, text without later copies, n_lines, n_removed (both 0 for a null text)."""
     rows = _applied(documents.select(id_col, text_col), id_col, text_col, min_words)
-    return rows.select(id_col, F.col("_kept").alias("text"), F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n", -1))).cast("long").alias("n_lines"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"))
+    return rows.select(id_col, F.col("_kept").alias("text"), F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n", -1))).cast("long").alias("n_lines"), F.col("_removed").cast("long").alias("n_removed"))

@@ -243,6 +243,47 @@ def test_line_dedup(spark):
     assert line_dedup.report(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_line_dedup_against_brute_force(spark, seed):
+    """Few distinct lines, so that runs overlap and nest; stretches of blank lines; odd word counts."""
+    r = random.Random(seed)
+    pool = ["", " ", "a", "b c", "d e f g", *(" ".join(r.choice("uvwxyz") for _ in range(r.randrange(5, 30))) for _ in range(5))]
+    docs = []
+    for i in range(40):
+        lines = [r.choice(pool) for _ in range(r.randrange(1, 30))]
+        if i % 4 == 3:
+            old = docs[r.randrange(i)][1].split("\n")
+            lines[2:2] = old[r.randrange(len(old)) :]
+        if i % 7 == 6:
+            lines[1:1] = [""] * r.randrange(40)
+        docs.append((i, "\n".join(lines)))
+    for least in (3, 50):
+        got = {x.doc_id: (x.text, x.n_removed) for x in line_dedup.report(frame(spark, docs), min_words=least).collect()}
+        assert got == {d: (t, n) for d, t, n in brute.without_repeats(docs, least)}
+
+
+def test_line_dedup_settles_intervals_across_partitions(spark):
+    shown = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "17")
+    try:
+        r = random.Random(8)
+        block = [f"{i} x y z" for i in range(20)]
+        docs = [(i, "\n".join([*block[: r.randrange(12, 20)], r.choice(["p q", "r s", "t"])])) for i in range(60)]
+        got = {x.doc_id: (x.text, x.n_removed) for x in line_dedup.report(frame(spark, docs)).collect()}
+        assert got == {d: (t, n) for d, t, n in brute.without_repeats(docs)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", shown)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_line_dedup_takes_long_blank_stretches(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    text = passage + "\n" * 20_000 + passage
+    got = {x.doc_id: (x.n_lines, x.n_removed) for x in line_dedup.report(frame(spark, [(1, text), (2, text), (3, "own\n" * 5)])).collect()}
+    assert got == {1: (20_001, 1), 2: (20_001, 20_001), 3: (6, 0)}
+
+
 def test_bag_minhash(spark):
     rows = sample(80, seed=4)
     docs = [*rows, (900, rows[0][1]), (901, None), (902, None), (903, ""), (900, rows[0][1])]
