@@ -7,14 +7,16 @@ query at distance d. A half is skipped if that exceeds `factor` times the query'
 one is exact search, less prunes more. Rows with equal vectors share one place in the tree, which holds
 all their ids in ascending order; a search reads only the first k + 1 of them.
 
-Search: blocks of at most about `block_rows` queries are sent to each shard by an equi-join on the shard's number and
-read there one after another, after the shard's tree; a task holds one tree and one block. Each shard answers
-k rows a query, and ranks within a query decide. The work is queries x shards, as asked for.
+Search: queries travel in blocks of at most about `block_rows`. Each block first reads one shard, its home; the k-th distance
+found there bounds what can still matter. Then the block goes, with these bounds, to every other shard by an equi-join
+on the shard's number; a tree prunes by the bound from the start and answers only rows within it, so the answers of
+all shards together are few times k a query. A task holds one tree and one block. Rank within a query decides. Blocks x
+shards are read, as asked for: a hash shard spreads over the whole space, so no shard can be left out beforehand.
 
 Defined results: vectors null, empty, all zero, or holding null or non-finite components take no part, nor do null ids;
-repeated rows (same id and vector) count once; the rows with a query's own id aren't its candidates; if an id
-occurs with several vectors, the least is its query; only vectors of a query's own length are candidates;
-empty tables give no rows; further columns are ignored.
+repeated rows (same id and vector) count once; a query's own row isn't its candidate, other rows are, also one with the
+same id and another vector; if an id occurs with several vectors, the least is its query; only vectors of a query's own
+length are candidates; empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,9 +83,10 @@ class Tree:
         self.nodes.append((int(vp), *sides))
         return len(self.nodes) - 1
 
-    def search(self, own: np.ndarray, q: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids, places and distances of the k nearest (k columns); missing ones have an infinite distance."""
+    def search(self, own: np.ndarray, q: np.ndarray, k: int, factor: float = 1.0, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids, places and distances of the k nearest within the bound (k columns); missing ones have an infinite distance."""
         m = len(q)
+        bound = np.full(m, np.inf) if bound is None else bound * (1 + 1e-12)
         best = np.full((m, k), np.inf)
         ids, places = np.full((m, k), _NO_ID), np.zeros((m, k), dtype=np.int64)
         q_norm, x_norm = (q * q).sum(axis=1), (self.vectors * self.vectors).sum(axis=1)
@@ -92,7 +95,7 @@ class Tree:
             """Nearness by one matrix product nominates; what can still be among the k nearest is measured exactly."""
             size = q_norm[act][:, None] + x_norm[rows][None, :]
             near = size - 2 * (q[act] @ self.vectors[rows].T)
-            limit = best[act, k - 1] ** 2
+            limit = np.minimum(best[act, k - 1], bound[act]) ** 2
             if len(rows) > k + 1:  # one place may hold the query's own row
                 limit = np.minimum(limit, np.partition(near, k, axis=1)[:, k])
             line, col = np.nonzero(near - 1e-10 * size <= limit[:, None])
@@ -100,12 +103,15 @@ class Tree:
                 return
             row = rows[col]
             d = np.sqrt(((q[act[line]] - self.vectors[row]) ** 2).sum(axis=1))
+            same = (q[act[line]] == self.vectors[row]).all(axis=1)
             counts = np.minimum(self.first[row + 1] - self.first[row], k + 1)
             pair = np.repeat(np.arange(len(row)), counts)
             new_id = self.ids[ranges(self.first[row], counts)]
             who = act[line[pair]]
-            other = new_id != own[who]
+            other = ~(same[pair] & (new_id == own[who])) & (d[pair] <= bound[who])
             pair, new_id, who = pair[other], new_id[other], who[other]
+            if not len(who):
+                return
             mine = np.unique(who)
             all_q = np.concatenate((np.repeat(mine, k), who))
             all_d = np.concatenate((best[mine].reshape(-1), d[pair]))
@@ -130,8 +136,8 @@ class Tree:
                 other = far if first is near else near
                 for lo, hi, child in (first, other):
                     part, e = act[mine], d[mine]
-                    bound = np.maximum(np.maximum(lo - e, e - hi), 0)
-                    go = part[bound <= factor * best[part, k - 1] * (1 + 1e-12) + 1e-300]
+                    apart = np.maximum(np.maximum(lo - e, e - hi), 0)
+                    go = part[apart <= factor * np.minimum(best[part, k - 1], bound[part]) * (1 + 1e-12) + 1e-300]
                     if len(go):
                         visit(child, go)
 
@@ -170,9 +176,22 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.
     ship(index.sparkSession)
     rows = _rows(queries, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v"))
     blocks = max(1, math.ceil(queries.count() / block_rows))
-    packed = rows.groupBy(F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))
-    asked = packed.join(index.select("dim", "shard"), "dim").select("dim", "shard", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("tree"), "queries")
-    trees = index.select("dim", "shard", F.lit(0).alias("kind"), "tree", F.lit(None).cast(packed.schema["queries"].dataType).alias("queries"))
+    rows = rows.select("id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
+    shards = index.select("dim", "shard")
+    home = rows.select("dim", "block").distinct().join(shards, "dim").groupBy("dim", "block").agg(F.min_by("shard", F.xxhash64("block", "shard")).alias("home"))
+    packed = lambda df: df.groupBy("dim", "block").agg(F.collect_list(F.struct("id", "v", "bound")).alias("queries")).join(home, ["dim", "block"])
+    first = written(_asked(index, packed(rows.withColumn("bound", F.lit(math.inf))).withColumnRenamed("home", "shard"), k, factor), "nearest-at-home")
+    bounds = first.groupBy(F.col("query_id").alias("id")).agg(F.max("score").alias("bound"), F.count("*").alias("n")).where(F.col("n") == k).drop("n")
+    bounded = rows.join(bounds.hint("merge"), "id", "left").withColumn("bound", F.coalesce("bound", F.lit(math.inf)))
+    rest = _asked(index, packed(bounded).join(shards, "dim").where("shard <> home"), k, factor)
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return first.unionByName(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _asked(index: DataFrame, blocks: DataFrame, k: int, factor: float) -> DataFrame:
+    """query_id, vec_id, score: what each block's queries find in the one shard it is addressed to."""
+    blocks = blocks.select("dim", "shard", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("tree"), "queries")
+    trees = index.select("dim", "shard", F.lit(0).alias("kind"), "tree", F.lit(None).cast(blocks.schema["queries"].dataType).alias("queries"))
 
     def run(batches):
         tree = None
@@ -184,13 +203,11 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.
                 block = batch.column(4)[i].as_py()
                 own = np.array([x["id"] for x in block], dtype=np.int64)
                 q = np.array([x["v"] for x in block])
-                ids, places, best = tree.search(own, q, k, factor)
+                ids, places, best = tree.search(own, q, k, factor, np.array([x["bound"] for x in block]))
                 line, col = np.nonzero(~np.isinf(best))
                 yield pa.RecordBatch.from_arrays([pa.array(own[line]), pa.array(ids[line, col]), pa.array(exact(q[line], tree.vectors[places[line, col]]))], names=["query_id", "vec_id", "score"])
 
-    found = trees.unionByName(asked).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind").mapInArrow(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return trees.unionByName(blocks).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind").mapInArrow(run, "query_id long, vec_id long, score double")
 
 
 def report(vectors: DataFrame, every: int = 100, k: int = 10, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
