@@ -10,8 +10,8 @@ Training reads at most `sample` labelled rows, those of least hash, so the drive
 reads every document and moves none.
 
 Defined results: a null text is an empty one, whose features are 0; labels that are null or neither 0 nor 1 teach
-nothing; with no labels every score is 0.5; with one class every score is near it; each of several labels of a
-document, and each repeated document, counts; columns other than those named are ignored.
+nothing; with no labels every score is 0.5; with one class every score is near it; each of several different labels of a
+document counts, repeated rows count once; a null id is scored and not held out; columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -192,10 +192,11 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         for batch in batches:
             for part, raw, offs in slices(batch, "text"):
                 x = features(raw, offs)
-                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("y")), *(pa.array(v) for v in x.T)], names=["y", *FEATURES])
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in ("id", "y")), *(pa.array(v) for v in x.T)], names=["id", "y", *FEATURES])
 
-    schema = T.StructType([T.StructField("y", T.IntegerType()), *(T.StructField(f, T.DoubleType()) for f in FEATURES)])
-    found = rows.mapInArrow(run, schema).limit(4 * sample).toPandas().sort_values(["y", *FEATURES], kind="stable")
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("y", T.IntegerType()), *(T.StructField(f, T.DoubleType()) for f in FEATURES)])
+    least = rows.select("id", "y", "text").mapInArrow(run, schema).distinct().orderBy(F.xxhash64("id"), "id", "y", *FEATURES).limit(sample)  # one row a label, but where ids repeat over different texts
+    found = least.toPandas().sort_values(["y", *FEATURES], kind="stable")
     return AdditiveModel.fit(found[FEATURES].to_numpy(), found["y"].to_numpy(dtype=float))
 
 
