@@ -20,7 +20,8 @@ similarity 0.8 a link shares no bucket with probability 3e-6, and either agreeme
 Verification joins each pair with both texts' shingles and counts. Only nodes that share a bucket have them fetched.
 
 Defined results: null texts and texts without words are classes of their own; a class id is the least id in it; a row
-without an id takes part and has its text's hash as id in comparisons; repeated rows are in one class; an
+without an id takes part, stands under its text's hash when ids are compared (so a class of such rows alone is named by
+it) and keeps its null id; repeated rows are in one class; an
 empty table gives no rows; columns other than id and text are ignored by `classes` and kept by `keep_one`.
 """
 
@@ -135,17 +136,18 @@ def _sign_batches(batches, registers: int, bands: int, rows: int, size: int):
                 [
                     part.column(part.schema.get_field_index("id")),
                     part.column(part.schema.get_field_index("text_hash")),
+                    part.column(part.schema.get_field_index("known")),
                     null(pa.array([x.tobytes() for x in prints.astype(">u8")], pa.binary())),
                     pa.array(counts, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band.view(np.int64).reshape(-1))),
                     pa.array([x.tobytes() for x in (sig >> np.uint64(56)).astype(np.uint8)], pa.binary()),
                 ],
-                names=["id", "text_hash", "node", "weight", "bands", "sig"],
+                names=["id", "text_hash", "known", "node", "weight", "bands", "sig"],
             )
 
 
 def _identified(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return documents.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(id_col).isNotNull().alias("known"), F.col(text_col).alias("text"))
 
 
 def _contents(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -269,18 +271,18 @@ def _finer(contents: DataFrame, registers: int) -> DataFrame:
 
 
 def sign(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, registers: int = REGISTERS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, text_hash, node (128 bits of the multiset, null without words), weight, bands, sig (a byte of each register)."""
+    """id, text_hash, known (has an id of its own), node (128 bits of the multiset, null without words), weight, bands, sig (a byte of each register)."""
     ship(documents.sparkSession)
-    return _identified(documents, id_col, text_col).mapInArrow(lambda b: _sign_batches(b, registers, bands, rows, shingle), "id long, text_hash long, node binary, weight long, bands array<long>, sig binary")
+    return _identified(documents, id_col, text_col).mapInArrow(lambda b: _sign_batches(b, registers, bands, rows, shingle), "id long, text_hash long, known boolean, node binary, weight long, bands array<long>, sig binary")
 
 
 def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """id, class_id for each row: the least id of the row's class."""
-    return _classes(documents, id_col, text_col, **options).select(F.col("id").alias(id_col), F.col("least.id").alias("class_id"))
+    return _classes(documents, id_col, text_col, **options).select(F.when(F.col("known"), F.col("id")).alias(id_col), F.col("least.id").alias("class_id"))
 
 
 def _classes(documents: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, threshold: float = THRESHOLD, agree: float = AGREE) -> DataFrame:
-    """id, text_hash, least (id and text_hash of the class's least row) for each row. Bands and agreements are made for links of 0.8 or more."""
+    """id, text_hash, known, least (id and text_hash of the class's least row) for each row. Bands and agreements are made for links of 0.8 or more."""
     if threshold < THRESHOLD:
         raise ValueError(f"threshold {threshold}: links below {THRESHOLD} would be missed")
     signed = written(sign(documents, id_col, text_col, shingle), "signatures")
@@ -310,7 +312,7 @@ def _classes(documents: DataFrame, id_col: str, text_col: str, shingle: int = SH
     labelled = nodes.select("node", "row").join(labels, "node", "left").select("node", "row", F.coalesce("label", "node").alias("label"))
     least = labelled.groupBy("label").agg(F.min("row").alias("least"))
     named = labelled.join(least, "label").select("node", "least")
-    return signed.select("id", "text_hash", "node").join(named, "node", "left").select("id", "text_hash", F.coalesce("least", F.struct("id", "text_hash")).alias("least"))
+    return signed.select("id", "text_hash", "known", "node").join(named, "node", "left").select("id", "text_hash", "known", F.coalesce("least", F.struct("id", "text_hash")).alias("least"))
 
 
 def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
