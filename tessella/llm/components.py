@@ -1,6 +1,7 @@
-"""Connected components of a link table by alternating large-star and small-star steps.
+"""Connected components of a link table: each partition unites its own links, then large-star and small-star steps.
 
-A table of at most `small` links is finished by one executor task instead, whose memory that number bounds.
+The same plan at every size. Where all links lie in one partition the first step has finished and one round of stars
+confirms it.
 """
 
 from __future__ import annotations
@@ -12,12 +13,15 @@ from tessella.storage import written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step: neighbours on one side of each node hang themselves on the least node around it."""
+    """One step: neighbours on one side of each node hang themselves on the least node around it.
+
+    The least nodes are a written table, so that the join with a hub's many neighbours can be split by adaptive execution.
+    """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     if not large:
         both = both.where("v < u")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least-nodes")
     hung = both.join(least, "u")
     if large:
         hung = hung.where("v > u").select(F.col("v").alias("b"), F.col("m").alias("a"))
@@ -27,7 +31,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def _united(batches):
-    """node, label by union-find over all batches."""
+    """The links of one partition as links of each node to the least it is connected with (a: least, b: node)."""
     parent: dict = {}
 
     def find(x):
@@ -42,28 +46,31 @@ def _united(batches):
             x, y = find(parent.setdefault(a, a)), find(parent.setdefault(b, b))
             if x != y:
                 parent[max(x, y)] = min(x, y)
-    if parent:
-        nodes = list(parent)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([find(n) for n in nodes], kind)], names=["node", "label"])
+    nodes = [n for n in parent if find(n) != n]
+    if nodes:
+        yield pa.RecordBatch.from_arrays([pa.array([find(n) for n in nodes], kind), pa.array(nodes, kind)], names=["a", "b"])
 
 
-def components(links: DataFrame, name: str = "components", most: int = 60, small: int = 300_000) -> DataFrame:
+def components(links: DataFrame, name: str = "components", most: int = 60) -> DataFrame:
     """node, label: the least node of the component, for every node that has a link. links: a, b (any orderable type).
 
     Each round is written to the shared folder, so that a lost executor costs one round. Rounds grow with the
     logarithm of the component's size; the steps never gather a node's neighbours in one place.
     """
-    edges = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
-    if edges.count() <= small:
-        kind = edges.schema["a"].dataType
-        return written(edges.coalesce(1).mapInArrow(_united, T.StructType([T.StructField("node", kind), T.StructField("label", kind)])), name)
-    state = None
+    edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    kind = edges.schema["a"].dataType
+    edges = written(edges.mapInArrow(_united, T.StructType([T.StructField("a", kind), T.StructField("b", kind)])), name)
+    state = _state(edges)
     for _ in range(most):
         edges = written(_star(_star(edges, True), False), name)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        before, state = state, _state(edges)
+        if before == state:
             break
-        state = now
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label"))).distinct()
+
+
+def _state(edges: DataFrame) -> tuple:
+    """Number and sum of hashes of the links: equal before and after a round that changed nothing."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

@@ -155,11 +155,37 @@ def test_vantage_points(spark):
         want = sorted((d[i], i) for i in range(400) if i != q)[:10]
         assert [i for i, _ in got[q]] == [i for _, i in want] and np.allclose([s for _, s in got[q]], [s for s, _ in want])
     assert set(got) == {0, 100, 200, 300}
-    near = vantage_points.report(df, factor=0.6, shard_rows=64).count()
-    assert near >= 0.9 * sum(map(len, got.values()))
+    want = {(q, i) for q, found in got.items() for i, _ in found}
+    near = {(r.query_id, r.vec_id) for r in vantage_points.report(df, factor=0.6, shard_rows=64).collect()}
+    assert len(near & want) >= 0.9 * len(want)
     assert vantage_points.report(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("own", (1, 2, 3, 4))
+def test_vantage_points_with_several_vectors_of_one_id(spark, own):
+    g = np.random.default_rng(own)
+    x = g.normal(size=(300, 5))
+    rows = [(i if i >= own else 0, v.tolist()) for i, v in enumerate(x)]
+    got = [(r.vec_id, r.score) for r in vantage_points.report(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=1000, shard_rows=100).orderBy("rank").collect()]
+    q = min(range(own), key=lambda i: x[i].tolist())
+    d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+    want = sorted((d[i], rows[i][0]) for i in range(300) if i != q)[:10]
+    assert [i for i, _ in got] == [i for _, i in want] and np.allclose([s for _, s in got], [s for s, _ in want])
+
+
+def test_vantage_points_recall_when_relaxed():
+    g = np.random.default_rng(1)
+    x = g.normal(size=(6000, 24))
+    tree = vantage_points.Tree(np.arange(6000), x)
+    q = np.arange(0, 6000, 60)
+    exact = tree.search(q, x[q], 10)[0]
+    brute_force = np.argsort(((x[q][:, None] - x[None]) ** 2).sum(axis=2), axis=1)[:, 1:11]
+    assert (np.sort(exact) == np.sort(brute_force)).all()
+    for factor in (0.9, 0.6):
+        found = tree.search(q, x[q], 10, factor)[0]
+        assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found, exact)]) >= 0.9
+
+
 def test_quality_additive(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     scored = quality_additive.report(docs, labels).join(labels, "doc_id").where("held_out").collect()
@@ -170,6 +196,39 @@ def test_quality_additive(spark, sf):
     one = spark.createDataFrame([(1, 1), (1, None), (2, 7), (None, 0)], "doc_id long, quality int")
     assert all(0 <= r.score <= 1 for r in quality_additive.report(odd, one).collect())
     assert quality_additive.report(odd.limit(0), labels).count() == 0
+    assert all(r.held_out is not None for r in quality_additive.report(odd, one).collect())
+
+
+def test_quality_additive_against_brute_force(spark):
+    """The features, the sample and the sum of table entries, restated a document at a time."""
+    rows = [*sample(), (900, None), (901, "One two.\nOne two.\nTHREE 4x é!"), (902, "same text"), (902, "same text"), (902, "other text 7")]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows if i is not None and i % 5], "doc_id long, quality int")
+    model = quality_additive.train(frame(spark, rows), labels)
+
+    def features(t):
+        raw, words = t.encode(), brute.WORD.findall(brute.low(t))
+        share = lambda test: sum(map(test, raw)) / max(1, len(raw))
+        lines = [" ".join(w) for w in (brute.WORD.findall(brute.low(x)) for x in t.split("\n")) if w]
+        n = max(1, len(words))
+        spans = [m.start() for m in brute.WORD.finditer(brute.low(t))]
+        return [
+            math.log1p(len(raw)), share(lambda b: 65 <= b <= 90), share(lambda b: 48 <= b <= 57), share(lambda b: b in (32, 9, 13)), share(lambda b: b == 10),
+            share(lambda b: b in b".,;:?'\"-()"), share(lambda b: b == 33), share(lambda b: b in b"#$%&*+/<=>@[\\]^_`{|}~"), share(lambda b: b >= 192),
+            sum(len(w.encode()) for w in words) / n, len(set(words)) / n, sum("A" <= t[i] <= "Z" for i in spans) / n, (len(lines) - len(set(lines))) / max(1, len(lines)),
+            len(words) / (t.count("\n") + 1), sum(any(c in "0123456789" for c in w) for w in words) / n,
+        ]
+
+    def score(x):
+        f = model.intercept + sum(t[sum(c <= v for c in cuts)] for v, cuts, t in zip(x, model.cuts, model.tables))
+        f += sum(t[sum(c <= x[i] for c in model.coarse[i])][sum(c <= x[j] for c in model.coarse[j])] for i, j, t in model.pairs)
+        return 1 / (1 + math.exp(-f))
+
+    taught = {(i, t or "") for i, t in rows if i % 5 and zlib.crc32(str(i).encode()) % 3 != 1}
+    x, y = (np.array(v, dtype=float) for v in zip(*sorted(((features(t), i % 2) for i, t in taught), key=lambda r: (r[1], r[0]))))
+    again = quality_additive.AdditiveModel.fit(x, y)
+    assert math.isclose(again.intercept, model.intercept) and len(again.pairs) == len(model.pairs)
+    got = sorted((r.doc_id, round(r.score, 9)) for r in quality_additive.score(frame(spark, rows), model).collect())
+    assert got == sorted((i, round(score(features(t or "")), 9)) for i, t in rows)
 
 
 def test_additive_model_learns_an_interaction():
@@ -293,7 +352,9 @@ def test_bag_minhash(spark):
     kept = bag_minhash.keep_one(frame(spark, docs))
     assert kept.columns == ["doc_id", "text", "score", "n_words"]
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in want})
-    assert bag_minhash.classes(frame(spark, [(None, "a b c"), (1, "d e f")])).count() == 2
+    lone = bag_minhash.classes(frame(spark, [(None, "a b c"), (None, "a b c"), (None, "x y"), (1, "d e f"), (None, "d e f")])).collect()
+    assert sorted((r.doc_id for r in lone), key=repr) == [1, None, None, None, None] and len({r.class_id for r in lone}) == 3
+    assert len(bag_minhash.keep_one(frame(spark, [(None, "a b c"), (None, "a b c"), (None, "x y"), (1, "d e f"), (None, "d e f")])).collect()) == 3
     assert bag_minhash.classes(frame(spark, [])).count() == 0
 
 
@@ -324,12 +385,27 @@ def test_bag_minhash_tells_rows_of_one_id_apart_by_text(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, first), (5, other), (7, "lone words")])
 
 
-def test_components_by_stars_and_in_one_task(spark):
+def test_components_in_one_partition_and_many(spark):
     r = random.Random(9)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 430)]
     df = spark.createDataFrame(links, "a long, b long")
-    one, stars = (sorted(map(tuple, components(df, small=s).collect())) for s in (1000, 0))
-    assert one == stars and dict(one)[430] == 400
+    got = []
+    for coalesce in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        got.append(sorted(map(tuple, components(df).collect())))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got[0] == got[1] and dict(got[0])[430] == 400
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    assert dict(got[0]) == {x: root(x) for a, b in links if a != b for x in (a, b)}
     assert components(df.limit(0)).count() == 0
 
 
