@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-#: Characters that compare as their plain form, labels of alert boxes, words that titles can lose.
-PLAIN_FROM, PLAIN_TO = "‘’‚‛“”„‟‐‑‒–—− ", "''''\"\"\"\"------ "
-MARKS = "™®©"
+#: Characters that compare as their plain form, characters that don't count, labels of alert boxes.
+PLAIN_FROM, PLAIN_TO = "\u2018\u2019\u201a\u201b\u2032\u201c\u201d\u201e\u2033\u2013\u2014\u2212\u2010\u2011\u00a0\u2009", "'''''\"\"\"\"-----  "
+MARKS = "\u2122\u00ae\u00a9"
+UNSEEN = "\u200b\u00ad"
 ALERTS = {
-    "note": ["note", "notes", "remember"],
-    "tip": ["tip", "tips", "hint"],
-    "important": ["important", "attention", "required"],
-    "warning": ["warning", "warnings", "danger"],
-    "caution": ["caution", "cautions", "restriction"],
+    "note": ["note", "notes", "notice", "remember", "othernote"],
+    "tip": ["tip", "hint", "fastpath"],
+    "important": ["important", "attention", "restriction"],
+    "warning": ["warning", "trouble"],
+    "caution": ["caution", "danger"],
 }
+#: Fixed values of page names: words that a long name can lose, traces of editing in a file's name, escapes that survived.
+STOPWORDS = ["a", "an", "the", "of", "for", "to", "and", "in", "on", "with"]
+HISTORY = r"(?i)^\d+[-_]+|[-_]+(?:updated|new|old|copy|\d)$"
+ESCAPE = r"\\?u(00[0-9a-fA-F]{2}|2[0-9a-fA-F]{3})|&#x?([0-9a-fA-F]+);"
 
 
 @F.pandas_udf(T.StringType())
@@ -35,8 +41,8 @@ def normalise(text: Column, compatibility: bool = True) -> Column:
 
     compatibility=False spares the Python step for text known to be in that form.
     """
-    plain = F.translate(nfkc(text) if compatibility else text, PLAIN_FROM + MARKS, PLAIN_TO)
-    return F.trim(F.regexp_replace(F.lower(plain), r"\s+", " "))
+    plain = F.replace(F.translate(nfkc(text) if compatibility else text, PLAIN_FROM + MARKS + UNSEEN, PLAIN_TO), F.lit("\u2026"), F.lit("..."))
+    return F.trim(F.regexp_replace(F.lower(plain), r"[\s\x1c-\x1f\x85\u1680\u2028\u2029]+", " "))
 
 
 def words(normal: Column) -> Column:
@@ -67,6 +73,42 @@ def slug(text: Column, ascii_only: bool = False) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(bare), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
+@F.pandas_udf(T.StringType())
+def _name_letters(text: pd.Series) -> pd.Series:
+    """Escapes undone, marks and quotes gone, accents folded, '&' spelled out, everything else one hyphen."""
+
+    def one(t):
+        t = re.sub(ESCAPE, lambda m: chr(int(m[1] or m[2], 16)), t)
+        t = unicodedata.normalize("NFKC", re.sub("[\u2122\u00ae\u00a9\u2120]", "", t))
+        t = re.sub("['\u2019\u2018\"\u201c\u201d]", "", t).replace("&", " and ")
+        return re.sub("[^a-z0-9]+", "-", unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower()).strip("-")
+
+    return text.map(lambda t: None if t is None else one(t))
+
+
+def shorten(name: Column, limit: int = 50) -> Column:
+    """A hyphenated name of at most `limit` characters: without its small words, then cut after a whole word."""
+    words = F.split(name, "-")
+    kept = F.array_join(F.concat(F.slice(words, 1, 1), F.filter(F.slice(words, F.lit(2), F.size(words)), lambda w: ~w.isin(STOPWORDS))), "-")
+    cut = F.substring(kept, 1, limit)
+    whole = F.regexp_replace(F.when(cut.rlike("^.+-"), F.regexp_replace(cut, "-[^-]*$", "")).otherwise(cut), "-+$", "")
+    return F.when(F.length(name) <= limit, name).when(F.length(kept) <= limit, kept).otherwise(whole)
+
+
+def page_stem(title: Column, stem: Column, limit: int = 50) -> Column:
+    """A page's file name: its title's letters, or its file's stem where there is no title or the title is a file name.
+
+    A title that looks like a file name still counts if the stem is only its beginning, cut short.
+    """
+    title, stem = F.trim(title), F.trim(F.coalesce(stem, F.lit("")))
+    full, own = _name_letters(title), _name_letters(stem)
+    short = lambda part: (part != "") & (F.length(part) < F.length(full)) & full.startswith(part)
+    truncated = (own != full) & (short(own) | short(F.regexp_replace(F.regexp_replace(own, r"-?\d+$", ""), "-+$", "")))
+    filename = F.contains(title, F.lit("_")) & ~F.contains(title, F.lit(" "))
+    by_title = F.coalesce((title != "") & (~filename | truncated), F.lit(False))
+    return shorten(F.when(by_title, full).otherwise(F.regexp_replace(_name_letters(F.regexp_replace(stem, HISTORY, "")), HISTORY, "")), limit)
+
+
 def heading_anchor(title: Column) -> Column:
     """Markup removed, lower case, punctuation deleted, spaces to hyphens, underscores kept."""
     bare = F.regexp_replace(F.regexp_replace(title, "<[^>]*>", ""), r"[*`\[\]]", "")

@@ -13,53 +13,6 @@ _c = F.col
 _words = r"regexp_extract_all({0}, '[a-z0-9]+(?:[''.\-_/][a-z0-9]+)*')"
 
 
-@query()
-def f194_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No SQL parses HTML; tests hold the parser against fixed pages."""
-    return relation(spark, sf_dir, "pages").select("page_id", F.posexplode(D.html_blocks("html")).alias("pos", "block"))
-
-
-@query()
-def f199_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relation(spark, sf_dir, "pages").select("page_id", D.to_markdown(_c("html")).alias("markdown"))
-
-
-@query()
-def f214_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relation(spark, sf_dir, "pages").select("page_id", D.to_markdown(_c("html"), "classes").alias("markdown"))
-
-
-@query(r'''SELECT page_id, len(regexp_extract_all(html, '\]\(([^)\s]*)[^)]*\)', 1)) + len(regexp_extract_all(html, '(?:href|src)\s*=\s*["'']([^"'']*)["'']', 1)) AS n FROM {pages}''')
-def f207_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relation(spark, sf_dir, "pages").select("page_id", F.size(D.references(_c("html"))).alias("n"))
-
-
-scalar("f202_callouts", "documents", "doc_id", lambda: F.length(D.callouts(F.concat(F.lit("> [!NOTE] "), _c("text")))), "length(text) + 12")
-scalar("f206_mask_code", "documents", "doc_id", lambda: F.length(D.mask_code(F.concat(F.lit("`a` ```\nb\n``` "), _c("text")))), "length(text) + 14")
-scalar("f196_markdown_blocks", "documents", "doc_id", lambda: F.size(D.markdown_blocks(F.concat(F.lit("---\na: b\n---\n# T\n- one\n- two\n\n"), _c("doc_id").cast("string")))), "4")
-scalar("f126_heading_compaction", "cells", "k", lambda: F.array_join(D.compact_headings(F.array(F.lit(1), F.lit(2), F.lit(2), F.lit(6), F.lit(6), F.lit(2), F.lit(6), (_c("k") % 2 + 5).cast("int"))).cast("array<string>"), ","), "CASE k % 2 WHEN 0 THEN '1,2,2,3,3,2,3,3' ELSE '1,2,2,3,3,2,3,3' END")
-
-
-@query(
-    r"""WITH s AS (SELECT doc_id, unnest(list_filter([trim(x) FOR x IN string_split(regexp_replace(lower(text), '([.!?:;])\s+', '\1␟', 'g'), '␟')], lambda x: x <> '')) AS sentence FROM {documents}),
-    w AS (SELECT doc_id, regexp_extract_all(sentence, '[a-z0-9]+(?:[''.\-_/][a-z0-9]+)*') AS w FROM s),
-    t AS (SELECT doc_id, ' ' || array_to_string(tw, ' ') || ' ' AS joined, CASE WHEN len(tw) = 0 THEN [] WHEN len(tw) <= 8 THEN [array_to_string(tw, ' ')] ELSE list_distinct([array_to_string(tw[i:i+7], ' ') FOR i IN range(1, len(tw) - 6)]) END AS runs FROM (SELECT doc_id, regexp_extract_all(regexp_replace(lower(text), ' (the|of) ', ' ', 'g'), '[a-z0-9]+(?:[''.\-_/][a-z0-9]+)*') AS tw FROM {documents}) x),
-    j AS (SELECT w.doc_id, len(w) AS n, w, joined, runs, CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= 8 THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[i:i+7], ' ') FOR i IN range(1, len(w) - 6)]) END AS mine FROM w JOIN t USING (doc_id)),
-    k AS (SELECT doc_id, n, n < 4 OR contains(joined, ' ' || array_to_string(w, ' ') || ' ') OR (n >= 8 AND len(list_intersect(mine, runs)) >= 0.8 * len(mine)) AS there FROM j)
-    SELECT doc_id, sum(n)::bigint AS words, sum(CASE WHEN there THEN n ELSE 0 END)::bigint AS present, count(*) FILTER (NOT there) AS missing, CASE WHEN sum(n) = 0 THEN 100.0 ELSE round_even(sum(CASE WHEN there THEN n ELSE 0 END) * 100.0::double / sum(n), 1) END AS percent FROM k GROUP BY 1"""
-)
-def f112_text_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = relation(spark, sf_dir, "documents").where("text is not null")
-    return D.coverage(docs.select("doc_id", F.lower("text").alias("text")), docs.select("doc_id", F.regexp_replace(F.lower("text"), " (the|of) ", " ").alias("text")), "doc_id")
-
-
-@query("SELECT d.doc_id, contains(lower(e.text), lower(split_part(d.text, chr(10), 1))) AS value FROM {documents} d JOIN {documents} e ON e.doc_id = d.doc_id - 1")
-def f152_sentence_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = relation(spark, sf_dir, "documents")
-    before = docs.select((_c("doc_id") + 1).alias("doc_id"), F.lower("text").alias("other"))
-    return docs.join(before, "doc_id").select("doc_id", F.contains("other", F.lower(F.split_part("text", F.lit("\n"), F.lit(1)))).alias("value"))
-
-
 @query("WITH t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS title, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM {documents}), b AS (SELECT doc_id, pos, regexp_replace(regexp_replace(trim(lower(regexp_replace(regexp_replace(title, '<[^>]*>', '', 'g'), '[*`\\[\\]]', '', 'g'))), '[^a-z0-9_ \\-]', '', 'g'), ' +', '-', 'g') AS base FROM t), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, base ORDER BY pos) - 1 AS n FROM b) SELECT doc_id, pos, CASE WHEN base = '' THEN '' WHEN n = 0 THEN base ELSE base || '-' || n END AS anchor FROM n")
 def f208_heading_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = relation(spark, sf_dir, "documents")

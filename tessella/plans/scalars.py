@@ -18,22 +18,27 @@ _released = f"coalesce(try_cast({_iso} AS date), cast(try_strptime(trim(date_cel
 # text
 scalar("f148_normalise", "documents", "doc_id", lambda: X.normalise(_c("text"), compatibility=False), _normal)
 scalar("f148_normalise_nfkc", "documents", "doc_id", lambda: X.normalise(_c("text")), _normal)
-scalar("f149_words", "documents", "doc_id", lambda: F.size(X.words(X.normalise(_c("text"), compatibility=False))), f"len(regexp_extract_all({_normal}, '[a-z0-9]+(?:[''.\\-_/][a-z0-9]+)*'))")
+scalar("f149_words", "documents", "doc_id", lambda: F.md5(F.array_join(X.words(X.normalise(_c("text"), compatibility=False)), " ")), f"md5(array_to_string(regexp_extract_all({_normal}, '[a-z0-9]+(?:[''.\\-_/][a-z0-9]+)*'), ' '))")
 scalar("f150_shingles", "documents", "doc_id", lambda: F.size(X.shingles(X.words(_c("text")))), r"""(SELECT CASE WHEN len(w) = 0 THEN 0 WHEN len(w) <= 8 THEN 1 ELSE len(list_distinct([array_to_string(w[i:i+7], ' ') FOR i IN range(1, len(w) - 6)])) END FROM (SELECT regexp_extract_all(text, '[a-z0-9]+(?:[''.\-_/][a-z0-9]+)*') AS w))""")
 scalar("f151_sentences", "documents", "doc_id", lambda: F.array_join(X.sentences(_c("text")), "|~|"), r"array_to_string(list_filter([trim(s) FOR s IN string_split(regexp_replace(text, '([.!?:;])\s+', '\1␟', 'g'), '␟')], lambda s: s <> ''), '|~|')")
-scalar("f153_compact", "documents", "doc_id", lambda: F.length(X.compact(_c("text"))), "length(regexp_replace(lower(text), '[^a-z0-9]+', '', 'g'))")
+scalar("f153_compact", "documents", "doc_id", lambda: F.md5(X.compact(_c("text"))), "md5(regexp_replace(lower(text), '[^a-z0-9]+', '', 'g'))")
 scalar("f154_slug", "part", "p_partkey", lambda: X.slug(F.concat_ws(" ", "p_name", "p_brand")), "regexp_replace(regexp_replace(lower(p_name || ' ' || p_brand), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')")
 scalar("f156_heading_anchor", "part", "p_partkey", lambda: X.heading_anchor(F.concat(F.lit("<b>"), _c("p_brand"), F.lit("</b> 10.4.0 "), _c("p_name"))), "regexp_replace(regexp_replace(trim(lower(p_brand || ' 10.4.0 ' || p_name)), '[^a-z0-9_ \\-]', '', 'g'), ' +', '-', 'g')")
 scalar("f157_version_segment", "cells", "k", lambda: X.version_segment(_c("version_cell")), "regexp_replace(regexp_replace(lower(replace(version_cell, '.', '-')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')")
 scalar("f158_tree_name", "products", "slug", lambda: X.tree_name(F.lit("fr-fr"), _c("bu"), _c("family"), docs=True), "'loc-fr-fr-' || bu || '-' || family || '-userdocs'")
-scalar("f159_alert_kind", "cells", "k", lambda: X.alert_kind(_c("label_cell")), "CASE regexp_replace(lower(label_cell), '[^a-z]', '', 'g') WHEN 'note' THEN 'note' WHEN 'warning' THEN 'warning' WHEN 'hint' THEN 'tip' WHEN 'attention' THEN 'important' END")
+_alerts = "Note: Notes NOTICE remember OtherNote Tip Hint! fast-path Important attention Restriction warning TROUBLE: Caution danger Other".split()
+scalar("f159_alert_kind", "cells", "k", lambda: X.alert_kind(F.element_at(F.array(*map(F.lit, _alerts)), (_c("k") % 16 + 1).cast("int"))), "['note', 'note', 'note', 'note', 'note', 'tip', 'tip', 'tip', 'important', 'important', 'important', 'warning', 'warning', 'caution', 'caution', NULL][k % 16 + 1]")
+scalar("f155_page_stem", "part", "p_partkey", lambda: X.page_stem(F.when(_c("p_partkey") % 3 == 0, F.concat_ws(" the ", "p_name", "p_brand", "p_type", "p_name")).when(_c("p_partkey") % 3 == 1, F.lit(" ")).otherwise(F.concat_ws("_", F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("x"))), F.concat(F.lit("1__"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_old"))),
+    """(WITH a AS (SELECT regexp_replace(lower(CASE WHEN p_partkey % 3 = 0 THEN p_name || ' the ' || p_brand || ' the ' || p_type || ' the ' || p_name ELSE p_name END), '[^a-z0-9]+', '-', 'g') AS s),
+    b AS (SELECT s, array_to_string(list_filter(string_split(s, '-'), lambda w: w NOT IN ('a', 'an', 'the', 'of', 'for', 'to', 'and', 'in', 'on', 'with')), '-') AS kept FROM a)
+    SELECT CASE WHEN length(s) <= 50 THEN s WHEN length(kept) <= 50 THEN kept ELSE regexp_replace(kept[1:50], '-[^-]*$', '') END FROM b)""")
 scalar("f160_title_from_filename", "files", "fid", lambda: X.title_from_filename(P.leaf(_c("path"))), r"trim(regexp_replace(regexp_replace(regexp_extract(path, '[^/]*$'), '\.[^.]*$', ''), '[_.-]+', ' ', 'g'))")
 scalar("f161_title_chain", "files", "fid", lambda: F.coalesce(F.when(_c("kind") == "economy", _c("kind")), F.when(_c("fid") % 2 == 0, _c("brand")), X.title_from_filename(P.leaf(_c("path")))), r"coalesce(CASE WHEN kind = 'economy' THEN kind END, CASE WHEN fid % 2 = 0 THEN brand END, trim(regexp_replace(regexp_replace(regexp_extract(path, '[^/]*$'), '\.[^.]*$', ''), '[_.-]+', ' ', 'g')))")
 scalar("f162_kind_routing", "files", "fid", lambda: F.when(_c("path").rlike(r"(?i)\.png$"), "image").when(_c("path").rlike("guide0/"), "guide").when(P.is_topic(_c("path")), "topic").otherwise("other"), r"CASE WHEN path ILIKE '%.png' THEN 'image' WHEN contains(path, 'guide0/') THEN 'guide' WHEN regexp_matches(lower(path), '\.x?html?$') THEN 'topic' ELSE 'other' END")
 scalar("f163_api_name", "files", "fid", lambda: F.array_join(F.filter(F.split("path", "/"), lambda p: ~p.startswith("guide")), "-"), "array_to_string(list_filter(string_split(path, '/'), lambda p: NOT starts_with(p, 'guide')), '-')")
 scalar("f164_fence", "cells", "k", lambda: X.fence(F.repeat(F.lit("`"), (_c("k") % 6).cast("int"))), "repeat('`', greatest(cast(k % 6 AS int) + 1, 3))")
 scalar("f165_markdown_escape", "cells", "k", lambda: X.markdown_escape(F.concat(_c("ref_cell"), F.lit("*_|"))), r"regexp_replace(ref_cell || '*_|', '([\\`*_\[\]<>#|])', '\\\1', 'g')")
-scalar("f165_table_cell", "documents", "doc_id", lambda: F.length(X.table_cell(_c("text"))), r"length(regexp_replace(replace(trim(text), '|', '\|'), '\r\n|\r|\n', '<br>', 'g'))")
+scalar("f165_table_cell", "documents", "doc_id", lambda: F.md5(X.table_cell(_c("text"))), r"md5(regexp_replace(replace(trim(text), '|', '\|'), '\r\n|\r|\n', '<br>', 'g'))")
 scalar("f166_yaml_quote", "documents", "doc_id", lambda: F.md5(X.yaml_quote(_c("text"))), r"""md5('"' || replace(replace(replace(replace(replace(text, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t') || '"')""")
 scalar("f167_boolean", "cells", "k", lambda: V.boolean(_c("bool_cell")), "CASE lower(trim(bool_cell)) WHEN 'true' THEN true WHEN 't' THEN true WHEN 'y' THEN true WHEN 'no' THEN false WHEN '0' THEN false END")
 scalar("f167_whole_count", "cells", "k", lambda: V.whole_count(_c("count_cell")), "CASE WHEN try_cast(replace(trim(count_cell), ',', '') AS double) >= 0 AND try_cast(replace(trim(count_cell), ',', '') AS double) % 1 = 0 THEN cast(try_cast(replace(trim(count_cell), ',', '') AS double) AS int) END")

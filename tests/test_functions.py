@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import paths as P, text as X, values as V
-from tessella.operators import documents as D, trees
+from tessella.operators import trees
 
 
 def one(spark, value):
@@ -60,35 +60,17 @@ def test_paths(spark):
 
 def test_normalise(spark):
     assert one(spark, X.normalise(F.lit("Ｆull “Quote”  —  ﬁn"))) == 'full "quote" - fin'
+    assert one(spark, X.normalise(F.lit("5\u2032 a\u200bb\u00adc\u2026"), compatibility=False)) == "5' abc..."
 
 
-def test_html_blocks(spark):
-    html = "<head><title>t</title></head><body><h1>A <b>b</b></h1><p>x &amp; y<br>z<!-- no --><script>no</script><ul><li>one<li>two</ul>tail"
-    assert D.html_blocks_of(html) == ["A b", "x & y z", "one", "two", "tail"]
-    assert D.html_blocks_of("") == []
+@pytest.mark.parametrize("label,want", [("Note:", "note"), ("NOTES", "note"), ("notice", "note"), ("Remember", "note"), ("othernote", "note"), ("tip", "tip"), ("Hint!", "tip"), ("fastpath", "tip"), ("important", "important"), ("attention", "important"), ("restriction", "important"), ("warning", "warning"), ("trouble", "warning"), ("caution", "caution"), ("Danger", "caution"), ("tips", None)])
+def test_alert_kind(spark, label, want):
+    assert one(spark, X.alert_kind(F.lit(label))) == want
 
 
-def test_markdown(spark):
-    html = "<h2>T</h2><p>a <em>b</em> <a href='x.htm'>c</a></p><ol><li>one</li><li>two<ul><li>in</li></ul></li></ol><p class='note'>mind</p>"
-    assert one(spark, D.to_markdown(F.lit(html))) == "## T\n\na *b* [c](x.htm)\n\n1. one\n\n2. two\n\n  - in\n\nmind"
-    assert one(spark, D.to_markdown(F.lit(html), "classes")).endswith("> **Note:** mind")
-
-
-def test_heading_compaction(spark):
-    assert one(spark, D.compact_headings(F.array(*map(F.lit, [1, 2, 2, 6, 6, 2, 6, 6])))) == [1, 2, 2, 3, 3, 2, 3, 3]
-
-
-def test_callouts_are_idempotent(spark):
-    once = D.callouts(F.lit("> [!NOTE] mind"))
-    assert one(spark, once) == one(spark, D.callouts(once)) == "> **NOTE:** mind"
-
-
-def test_coverage(spark):
-    text = "the quick brown fox jumps over the lazy dog today. never said this at all. hm no."
-    rows = spark.createDataFrame([(1, text), (2, "")], "k int, text string")
-    target = spark.createDataFrame([(1, "so the quick brown fox jumps over the lazy dog today.")], "k int, text string")
-    got = {r.k: (r.words, r.present, r.missing, r.percent) for r in D.coverage(rows, target, "k").collect()}
-    assert got == {1: (17, 12, 1, 70.6), 2: (0, 0, 0, 100.0)}
+@pytest.mark.parametrize("title,stem,want", [("Developer’s Guide™", "x", "developers-guide"), ("", "1__Copy_Files_old", "copy-files"), ("Step_1", "Step_1", "step"), ("tibems_SetReconnectAttemptDelay", "tibems_SetReconnectA3", "tibems-setreconnectattemptdelay"), ("R & D u0027s", "", "r-and-d-s"), ("The " + "word of the " * 9 + "end", "", "the-word-word-word-word-word-word-word-word-word"), ("x" * 60, "", "x" * 50)])
+def test_page_stem(spark, title, stem, want):
+    assert one(spark, X.page_stem(F.lit(title), F.lit(stem))) == want
 
 
 def test_pack_starts_over(spark):
