@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from tessella.storage import written
 
 
 def walk(nodes: DataFrame, most: int = 64) -> DataFrame:
     """Depth and the path of positions from the root, level by level; sorted by path it is the pre-order.
 
-    nodes: node, parent (null for a root), pos, title. A level is one join; levels stop when none is left.
+    nodes: node, parent (null for a root), pos, title. A level is one join with the level above, which has been written, so
+    that no level computes another anew; levels stop when none is left.
     """
-    at = nodes.where("parent is null").select("node", F.lit(0).alias("depth"), F.array(F.col("pos")).alias("path"), F.array(F.col("title")).alias("trail"))
+    at = written(nodes.where("parent is null").select("node", F.lit(0).alias("depth"), F.array(F.col("pos")).alias("path"), F.array(F.col("title")).alias("trail")), "tree-level")
     out = at
     for depth in range(1, most):
         below = nodes.alias("n").join(at.alias("p"), F.col("n.parent") == F.col("p.node"))
-        at = below.select(F.col("n.node"), F.lit(depth).alias("depth"), F.concat("p.path", F.array(F.col("n.pos"))).alias("path"), F.concat("p.trail", F.array(F.col("n.title"))).alias("trail"))
+        at = written(below.select(F.col("n.node"), F.lit(depth).alias("depth"), F.concat("p.path", F.array(F.col("n.pos"))).alias("path"), F.concat("p.trail", F.array(F.col("n.title"))).alias("trail")), "tree-level")
         if at.isEmpty():
             return out
         out = out.unionByName(at)
@@ -60,18 +64,25 @@ def out_of_order(old: DataFrame, new: DataFrame) -> DataFrame:
 def pack(nodes: DataFrame, group: str, most: int) -> DataFrame:
     """Consecutive rows of a group share a page until its words would exceed `most`; one long row is a page alone.
 
-    A running sum that starts over is not a window, so each group is folded in one array; a group is one tree's row list.
+    A running sum that starts over is not a window: sorted rows pass through one scan, which holds two numbers at a time
+    and no group, however large.
     """
-    rows = F.array_sort(F.collect_list(F.struct("pos", "node", "words")))
-    start = F.struct(F.lit(0).cast("bigint").alias("page"), F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<struct<node:bigint,page:bigint>>").alias("out"))
-
-    def step(acc, r):
-        new = (acc["sum"] > 0) & (acc["sum"] + r["words"] > most)
-        page = F.when(new, acc["page"] + 1).otherwise(acc["page"])
-        return F.struct(page.alias("page"), F.when(new, r["words"]).otherwise(acc["sum"] + r["words"]).alias("sum"), F.concat(acc["out"], F.array(F.struct(r["node"].alias("node"), page.alias("page")))).alias("out"))
 
-    packed = nodes.groupBy(group).agg(F.aggregate(rows, start, step)["out"].alias("out"))
-    return packed.select(group, F.explode("out").alias("o")).select(group, "o.node", "o.page")
+    def run(batches):
+        now, page, total = None, 0, 0
+        for batch in batches:
+            pages = []
+            for key, words in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                if (key,) != now:
+                    now, page, total = (key,), 0, 0
+                elif total > 0 and total + words > most:
+                    page, total = page + 1, 0
+                total += words
+                pages.append(page)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(pages, pa.int64())], names=[group, "node", "page"])
+
+    schema = T.StructType([nodes.schema[group], nodes.schema["node"], T.StructField("page", T.LongType())])
+    return nodes.select(group, "pos", "node", "words").repartition(group).sortWithinPartitions(group, "pos").mapInArrow(run, schema)
 
 
 def unique_names(rows: DataFrame, group: str) -> DataFrame:

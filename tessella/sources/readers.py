@@ -173,11 +173,38 @@ def toc(text: Column, name: str) -> Column:
 
 
 def help_map(text: Column, most: int = 300_000) -> Column:
-    """Identifier, link and anchor of each entry of an alias file; null if it is too large to be one."""
+    """Identifier, link and anchor of each entry of an alias file; null if it is too many bytes to be one (see help_map_status)."""
     rows = F.regexp_extract_all(text, F.lit(r"(<Map\b[^>]*>)"), F.lit(1))
     cell = lambda r, name: F.regexp_extract(r, rf'\b{name}="([^"]*)"', 1)
     entries = F.transform(rows, lambda r: F.struct(cell(r, "Name").alias("ident"), F.split_part(cell(r, "Link"), F.lit("#"), F.lit(1)).alias("link"), F.split_part(cell(r, "Link"), F.lit("#"), F.lit(2)).alias("anchor")))
-    return F.when(F.length(text) <= most, entries)
+    return F.when(F.octet_length(text) <= most, entries)
+
+
+def help_map_status(text: Column, most: int = 300_000) -> Column:
+    """unreadable (null), unparseable (too many bytes, or no alias file), empty or ok: the finding beside `help_map`."""
+    return F.when(text.isNull(), "unreadable").when((F.octet_length(text) > most) | ~text.rlike(r"(?i)<(map|catapult\w*|alias\w*)\b"), "unparseable").when(F.size(help_map(text, most)) == 0, "empty").otherwise("ok")
+
+
+def rule_table(spark: SparkSession, text: str, columns: list[str], key: str) -> DataFrame:
+    """A small table of rules from a YAML list of mappings, all values strings; a key twice or a row without one is an error.
+
+    A rule file is read on the driver: people write it, some hundred rows.
+    """
+    import yaml
+
+    rows = yaml.safe_load(text) or []
+    if not isinstance(rows, list) or not all(isinstance(r, dict) for r in rows):
+        raise ValueError("a rule file is a list of mappings")
+    unknown = {c for r in rows for c in r} - set(columns)
+    keys = [r.get(key) for r in rows]
+    if unknown or None in keys or len(set(keys)) < len(keys):
+        raise ValueError(f"rules need one {key} each, no two alike, and no columns but {columns}; unknown: {sorted(unknown)}")
+    return spark.createDataFrame([tuple(None if r.get(c) is None else str(r[c]) for c in columns) for r in rows], ", ".join(f"`{c}` string" for c in columns))
+
+
+def select(spark: SparkSession, statement: str, **parameters) -> DataFrame:
+    """Rows of a parameterised SELECT; parameters are bound as :name, never pasted into the text."""
+    return spark.sql(statement, args=parameters)
 
 
 def pdf_title(title: Column) -> Column:

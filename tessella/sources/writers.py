@@ -19,12 +19,19 @@ def csv(df: DataFrame, path: str, columns: list[str]) -> None:
     out.write.mode("overwrite").option("lineSep", "\r\n").option("emptyValue", "").option("escape", '"').csv(path, header=True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
 def swap(spark: SparkSession, staging: str, target: str) -> None:
-    """Put a finished folder in the place of another; the old one is set aside until the new one stands."""
+    """Put a finished folder in the place of another; the old one is set aside until the new one stands.
+
+    What an interrupted swap has set aside is brought back first, never deleted while it is the only copy.
+    """
+    recover(spark, target)
     fs, s, path = _fs(spark, staging)
     t, old = path(target), path(target + ".old")
-    if fs.exists(old):
-        fs.delete(old, True)
     if fs.exists(t) and not fs.rename(t, old):
         raise OSError(f"cannot set {target} aside")
     if not fs.rename(s, t):

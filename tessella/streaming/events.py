@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessella.sources.writers import swap
+from tessella.sources.writers import exists, recover, swap
 
 
 def stage_log(events: DataFrame) -> DataFrame:
@@ -24,16 +24,17 @@ def windowed(events: DataFrame, late: str = "10 minutes", width: str = "1 hour")
 
 
 def keep_current(spark: SparkSession, events: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Merge each micro-batch into a Parquet table by key. A batch that is run again changes nothing."""
+    """Merge each micro-batch into a Parquet table by key. A batch that is run again changes nothing.
+
+    A merge that was interrupted between its two renames is undone first; only a table that isn't there is taken for the
+    first batch, any other failure ends the query.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         new = stage_log(batch)
-        try:
-            old = spark.read.parquet(target)
-        except Exception:  # the first batch
-            old = None
-        if old is not None:
-            both = old.unionByName(new)
+        recover(spark, target)
+        if exists(spark, target):
+            both = spark.read.parquet(target).unionByName(new)
             new = both.groupBy("slug", "version", "stage").agg(F.max("ok_at").alias("ok_at"), F.max("failed_at").alias("failed_at"))
         part = f"{target}.{number}.part"
         new.write.mode("overwrite").parquet(part)
