@@ -32,13 +32,15 @@ def beneath(files: DataFrame) -> DataFrame:
     return files.select(F.explode(P.ancestors(F.col("path"))).alias("folder"), "bytes").groupBy("folder").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
-def longest_suffix(urls: DataFrame, files: DataFrame, most: int = 4) -> DataFrame:
-    """The file that shares the most trailing path segments with each URL. urls: uid, path."""
+def longest_suffix(urls: DataFrame, files: DataFrame) -> DataFrame:
+    """The file that shares the most trailing path segments with each URL, the least id of several. urls: uid, path.
+
+    Every trailing part of a path is a row, as many as it has segments, so that sharing is an equi-join.
+    """
 
     def tails(df: DataFrame, key: str) -> DataFrame:
         parts = F.split("path", "/")
-        depth = F.least(F.size(parts), F.lit(most))
-        return df.select(key, F.explode(F.transform(F.sequence(F.lit(1), depth), lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, F.size(parts) - n + 1, n), "/").alias("tail")))).alias("t")).select(key, "t.*")
+        return df.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, F.size(parts) - n + 1, n), "/").alias("tail")))).alias("t")).select(key, "t.*")
 
     found = tails(urls, "uid").join(tails(files, "fid").drop("n"), "tail")
     return found.groupBy("uid").agg(F.max("n").alias("shared"), F.max_by("fid", F.struct("n", -F.col("fid"))).alias("fid"))

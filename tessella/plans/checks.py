@@ -32,7 +32,6 @@ over("f245_confirm", lambda f: K.confirm(f.select("fid", "slug", F.when(_c("fid"
 scalar("f252_declaration", "cells", "k", lambda: K.declaration(F.when(_c("k") % 3 == 0, "http://h/x").otherwise("http://h/{path}"), _c("count_cell")), "CASE WHEN k % 3 = 0 THEN 'no path' WHEN k % 6 = 1 THEN '' WHEN k % 6 = 5 THEN '' WHEN k % 6 = 4 THEN 'drop' ELSE 'drop' END")
 over("f254_own_language", lambda f: K.own_language(f.select(_c("slug").alias("site"), F.concat(F.when(_c("fid") % 50 < 10, F.when(_c("fid") % 3 == 0, "fr-fr/").otherwise("en-us/")).otherwise(""), "path").alias("path")), "en-us"), "files", oracle="SELECT slug AS site, CASE WHEN fid % 50 < 10 THEN 'en-us/' ELSE '' END || path AS path FROM {files} WHERE fid % 50 >= 10 OR fid % 3 <> 0")
 over("f256_index_completeness", lambda f: f.join(f.where("fid % 5 <> 0").select(F.lower("path").alias("_l")), F.lower("path") == _c("_l"), "left_anti").select("path"), "files", oracle="SELECT path FROM {files} WHERE fid % 5 = 0")
-over("f262_rename_rows", lambda f: f.where("fid % 9 = 0").select(_c("path").alias("source"), F.concat(F.lit("new/"), "path").alias("page")).orderBy("source"), "files", oracle="SELECT path AS source, 'new/' || path AS page FROM {files} WHERE fid % 9 = 0")
 over("f266_ordinal_runs", lambda f: K.ordinal_runs(f.select("slug", _c("fid").alias("pos"), (F.floor(_c("fid") / 50) % 7).alias("number"), (_c("bytes") > 40000).alias("heading")), "slug").drop("run"), "files", oracle="WITH i AS (SELECT slug, fid AS pos, cast(floor(fid / 50) AS bigint) % 7 AS number, bytes > 40000 AS heading FROM {files}), h AS (SELECT *, sum(CASE WHEN heading THEN 1 ELSE 0 END) OVER (PARTITION BY slug ORDER BY pos) AS h FROM i), n AS (SELECT *, CASE WHEN number = lag(number) OVER w + 1 AND h = lag(h) OVER w THEN 0 ELSE 1 END AS fresh FROM h WHERE NOT heading WINDOW w AS (PARTITION BY slug ORDER BY pos)), r AS (SELECT *, sum(fresh) OVER (PARTITION BY slug ORDER BY pos) AS run FROM n) SELECT slug, min(pos) AS first, count(*) AS items FROM r GROUP BY slug, run")
 scalar("f268_roman", "cells", "k", lambda: K.roman(F.element_at(F.array(*map(F.lit, ["i", "iv", "ix", "xiv", "xxxix", "iiii", "abc", ""])), (_c("k") % 8 + 1).cast("int"))), "[1, 4, 9, 14, 39, NULL, NULL, NULL][k % 8 + 1]")
 over("f270_row_groups", lambda f: K.row_groups(f.select("slug", _c("fid").alias("pos"), "kind"), "slug", _c("kind") == "economy"), "files", oracle="SELECT slug, fid AS pos, sum(CASE WHEN kind = 'economy' THEN 1 ELSE 0 END) OVER (PARTITION BY slug ORDER BY fid)::bigint AS \"group\" FROM {files}")

@@ -37,7 +37,6 @@ over("f008_incremental_walk", lambda f: R.changed(f.select(_c("path").alias("loc
 over("f016_published_tree", lambda f: R.published(f.select(F.concat(F.lit("en-us/"), _c("slug"), F.lit("/guide/1-0/"), _c("path")).alias("path"))).groupBy("locale", "slug", "doc_class", "segment").agg(F.count("*").alias("n")), "files", oracle="SELECT 'en-us' AS locale, slug, 'guide' AS doc_class, '1-0' AS segment, count(*) AS n FROM {files} GROUP BY slug")
 over("f018_js_table", lambda n: n.select("node", F.explode(R.toc(F.concat(F.lit("define({n:[{t:'"), _c("title"), F.lit("',h:'x.htm',n:[{t:'in',h:'y'},]}]});")), "define")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'x.htm' AS path FROM {nodes} UNION ALL SELECT node, 1, 'in', 'y' FROM {nodes}")
 over("f019_html_toc", lambda p: p.select("page_id", F.size(R.toc(_c("html"), "lists")).alias("n")), "pages")
-over("f020_help_map", lambda i: i.where("release = 1").groupBy("slug").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ident", "target"))), lambda e: F.concat(F.lit('<Map Name="'), e["ident"], F.lit('" Link="'), e["target"], F.lit('#a"/>'))), "").alias("x")).select("slug", F.explode(R.help_map(_c("x"))).alias("e")).select("slug", "e.*"), "ids", oracle="SELECT slug, ident, target AS link, 'a' AS anchor FROM {ids} WHERE release = 1")
 over("f021_yaml_toc", lambda n: n.select("node", F.explode(R.toc(F.concat(F.lit("docs:\n- title: "), _c("title"), F.lit("\n  url: a.md\n  subfolderlist:\n  - title: in\n    url: b.md\n")), "yaml")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'a.md' AS path FROM {nodes} UNION ALL SELECT node, 1, 'in', 'b.md' FROM {nodes}")
 over("f022_pdf_title", lambda f: f.select("fid", R.pdf_title(F.when(_c("fid") % 4 == 0, "Untitled").when(_c("fid") % 4 == 1, F.concat("brand", F.lit(".docx"))).otherwise(_c("brand"))).alias("title")), "files", oracle="SELECT fid, CASE WHEN fid % 4 > 1 THEN brand END AS title FROM {files}")
 over("f025_redirect_map", lambda f: f.select("fid", F.explode(R.redirect_map(F.when(_c("fid") % 2 == 0, F.concat(F.lit('{"a":"'), _c("path"), F.lit('"}'))).otherwise(F.concat(F.lit('[{"from":"a","to":"'), _c("path"), F.lit('"}]'))))).alias("e")).select("fid", "e.*"), "files", oracle="SELECT fid, 'a' AS \"from\", path AS \"to\" FROM {files}")
@@ -55,23 +54,6 @@ def f027_table_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/products").select("slug", "display_name")
 
 
-@query("SELECT id, run_id FROM {findings} WHERE run_id IN (1, 2)")
-def f032_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, findings = scratch(spark, "runs"), relation(spark, sf_dir, "findings")
-    for run in (1, 2):
-        W.append(findings.where(_c("run_id") == run).drop("run_id"), path, run)
-    return spark.read.parquet(path).select("id", _c("run_id").cast("long").alias("run_id"))
-
-
-@query("SELECT path, bytes FROM (SELECT 'part' AS path, 0 AS bytes) t WHERE false")
-def f014_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of a folder that holds none but hidden ones."""
-    path = scratch(spark, "listing")
-    relation(spark, sf_dir, "region").limit(0).write.format("noop").mode("overwrite").save()
-    relation(spark, sf_dir, "region").write.parquet(path)
-    return R.listing(spark, path).where(_c("path").startswith("_")).select("path", _c("bytes").cast("int").alias("bytes"))
-
-
 @query("SELECT slug, version, stage, max(happened) FILTER (outcome = 'ok') AS ok_at, max(happened) FILTER (outcome = 'failed') AS failed_at FROM {stage_events} GROUP BY 1, 2, 3")
 def f233_stream_stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage log kept by a stream over files, merged batch by batch."""

@@ -16,15 +16,14 @@ over("f082_link_resolution", L.resolve_links, "links", "files", oracle="SELECT l
 over("f072_unique_match", lambda f: L.unique_match(f.select(F.upper(P.leaf(_c("path"))).alias("name")), f), "files", oracle="SELECT upper(regexp_extract(path, '[^/]*$')) AS name, CASE WHEN count(*) OVER (PARTITION BY lower(regexp_extract(path, '[^/]*$'))) = 1 THEN path END AS path FROM {files}")
 over("f075_owning_root", lambda f: L.owning_root(f, f.where("fid % 6 = 0").select(P.parent(_c("path")).alias("root")).unionByName(f.where("fid % 4 <> 3").select(F.split_part("path", F.lit("/"), F.lit(1)).alias("root")))), "files", oracle=f"WITH r AS (SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS root FROM {{files}} WHERE fid % 6 = 0 UNION SELECT DISTINCT split_part(path, '/', 1) FROM {{files}} WHERE fid % 4 <> 3), a AS ({_anc}) SELECT fid, arg_max(root, length(root)) AS root FROM a JOIN r USING (root) GROUP BY 1")
 over("f109_beneath", L.beneath, "files", oracle=f"SELECT root AS folder, count(*) AS files, sum(bytes)::bigint AS bytes FROM ({_anc}) t GROUP BY 1")
-over("f076_longest_suffix", lambda f: L.longest_suffix(f.where("fid % 3 = 0").select((_c("fid") + 1).alias("uid"), F.concat(F.lit("x/y/"), _c("path")).alias("path")), f), "files", oracle="WITH t AS (SELECT fid, string_split(path, '/') AS p FROM {files}), k AS (SELECT fid, n, array_to_string(p[len(p)-n+1:], '/') AS tail FROM (SELECT fid, p, unnest(range(1, least(len(p), 4) + 1)) AS n FROM t) x), u AS (SELECT fid + 1 AS uid, string_split('x/y/' || path, '/') AS p FROM {files} WHERE fid % 3 = 0), m AS (SELECT uid, n, array_to_string(p[len(p)-n+1:], '/') AS tail FROM (SELECT uid, p, unnest(range(1, 5)) AS n FROM u) x), j AS (SELECT uid, m.n, fid FROM m JOIN k USING (tail)), b AS (SELECT uid, max(n) AS shared FROM j GROUP BY 1) SELECT uid, shared, min(fid) AS fid FROM j JOIN b USING (uid) WHERE n = shared GROUP BY 1, 2")
 over("f084_nearest_before", lambda f: L.nearest_before(f.select("slug", "fid", "bytes"), "slug", "fid", _c("bytes") > 30000, "twin").select("fid", "twin"), "files", oracle="SELECT fid, max(CASE WHEN bytes > 30000 THEN fid END) OVER (PARTITION BY slug ORDER BY fid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS twin FROM {files}")
 over("f127_marker_target", lambda f: L.nearest_before(f.select("slug", "fid", "kind"), "slug", "fid", _c("kind") == "economy", "heading").select("fid", "heading"), "files", oracle="SELECT fid, max(CASE WHEN kind = 'economy' THEN fid END) OVER (PARTITION BY slug ORDER BY fid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS heading FROM {files}")
 over("f085_help_map_diff", L.map_diff, "ids", oracle="WITH s AS (SELECT slug, release, lead(release) OVER (PARTITION BY slug ORDER BY release) AS nxt FROM (SELECT DISTINCT slug, release FROM {ids}) t), o AS (SELECT i.slug, s.nxt AS release, ident, target AS was FROM {ids} i JOIN s ON s.slug = i.slug AND s.release = i.release WHERE nxt IS NOT NULL), n AS (SELECT i.* FROM {ids} i JOIN s ON s.slug = i.slug AND s.nxt = i.release) SELECT * FROM (SELECT coalesce(o.slug, n.slug) AS slug, coalesce(o.release, n.release) AS release, coalesce(o.ident, n.ident) AS ident, CASE WHEN n.slug IS NULL THEN 'dropped' WHEN o.slug IS NULL THEN 'added' WHEN was <> target THEN 'retargeted' END AS verdict FROM o FULL JOIN n ON o.slug = n.slug AND o.release = n.release AND o.ident = n.ident) t WHERE verdict IS NOT NULL")
 _set = "SELECT slug, ident, min(target) AS target FROM {ids} GROUP BY 1, 2"
 over("f068_two_phase_ids", lambda i, e: L.two_phase(e.select("slug", F.concat(F.lit("ID"), (_c("event_id") % 310).cast("string")).alias("ident")).distinct(), i.groupBy("slug", "ident").agg(F.min("target").alias("target"))), "ids", "stage_events", oracle=f"WITH s AS ({_set}), a AS (SELECT DISTINCT slug, 'ID' || cast(event_id % 310 AS string) AS ident FROM {{stage_events}}), n AS (SELECT slug, count(*) AS n FROM s GROUP BY 1), b AS (SELECT ident, target FROM (SELECT ident, target, row_number() OVER (PARTITION BY ident ORDER BY n DESC, slug) AS r FROM s JOIN n USING (slug)) t WHERE r = 1) SELECT a.slug, a.ident, coalesce(s.target, b.target) AS target, CASE WHEN s.target IS NOT NULL THEN 'own' WHEN b.target IS NOT NULL THEN 'sibling' ELSE 'missing' END AS via FROM a LEFT JOIN s ON s.slug = a.slug AND s.ident = a.ident LEFT JOIN b ON b.ident = a.ident")
 over("f086_map_mirror", lambda i: L.mirror(i.where("release > 2").select("ident", _c("target").alias("page")).distinct(), i.where("release < 4").select("ident", F.when(_c("release") == 1, F.concat("target", F.lit("x"))).otherwise(_c("target")).alias("page")).distinct()), "ids", oracle="WITH a AS (SELECT DISTINCT ident, target AS page FROM {ids} WHERE release > 2), b AS (SELECT DISTINCT ident, CASE WHEN release = 1 THEN target || 'x' ELSE target END AS page FROM {ids} WHERE release < 4) SELECT *, 'map' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) x UNION ALL SELECT *, 'page' FROM (SELECT * FROM b EXCEPT SELECT * FROM a) y")
-over("f144_except_ids", lambda i: i.where("release = 1").select("slug", "ident").exceptAll(i.where("release = 2").select("slug", "ident")), "ids", oracle="SELECT slug, ident FROM {ids} WHERE release = 1 EXCEPT SELECT slug, ident FROM {ids} WHERE release = 2")
-over("f143_union_keys", lambda i: i.where("release = 1").select("ident").union(i.where("release = 2").select("ident")).distinct(), "ids", oracle="SELECT DISTINCT ident FROM {ids} WHERE release IN (1, 2)")
+over("f144_except_ids", lambda i: i.where("release % 2 = 1").select("slug", "ident").distinct().exceptAll(i.where("release % 2 = 0").select("slug", "ident")), "ids", oracle="SELECT slug, ident FROM {ids} WHERE release % 2 = 1 EXCEPT SELECT slug, ident FROM {ids} WHERE release % 2 = 0")
+over("f143_union_keys", lambda i: i.where("release % 2 = 1").select("slug", "ident").union(i.where("release % 2 = 0").select("slug", "ident")).distinct(), "ids", oracle="SELECT DISTINCT slug, ident FROM {ids}")
 over("f113_csh_coverage", lambda i: i.groupBy("slug").agg(F.countDistinct("ident").alias("idents"), F.countDistinct("target").alias("pages"), F.countDistinct("release").alias("releases")), "ids", oracle="SELECT slug, count(DISTINCT ident) AS idents, count(DISTINCT target) AS pages, count(DISTINCT release) AS releases FROM {ids} GROUP BY 1")
 over("f261_inverted_map", L.invert, "ids", oracle="SELECT slug, release, target, string_agg(DISTINCT ident, ' ' ORDER BY ident) AS idents FROM {ids} GROUP BY 1, 2, 3")
 over("f137_set_order", lambda i: i.groupBy("slug").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "slug"), "ids", oracle="SELECT slug, count(*) AS n FROM {ids} GROUP BY 1")
@@ -32,8 +31,6 @@ over("f087_dropdown_disk", lambda v, e: L.both_ways(v.select(_c("slug").alias("n
 over("f088_redirect_checks", lambda l, f: L.redirects(l.select(_c("target").alias("source"), F.when(_c("lid") % 2 == 0, F.lower("target")).otherwise(F.concat(F.lit("guide1/"), P.leaf(_c("target")))).alias("goal")).distinct(), f), "links", "files", oracle="WITH r AS (SELECT DISTINCT target AS source, CASE WHEN lid % 2 = 0 THEN lower(target) ELSE 'guide1/' || regexp_extract(target, '[^/]*$') END AS goal FROM {links}) SELECT source, goal, CASE WHEN lower(source) = lower(goal) THEN 'loop' WHEN goal NOT IN (SELECT path FROM {files}) THEN 'missing' WHEN source IN (SELECT path FROM {files}) THEN 'shadowed' ELSE 'ok' END AS verdict FROM r")
 over("f074_counterparts", lambda d: L.counterparts(d.select((_c("doc_id") % 40).alias("key"), "lang", _c("source").alias("text"))), "documents", oracle="WITH d AS (SELECT doc_id % 40 AS key, lang, source FROM {documents}) SELECT a.lang, count(*) AS pages, count(*) FILTER (a.source = b.source) AS same, cast(round_even(count(*) FILTER (a.source = b.source) * 100.0::double / count(*), 0) AS int) AS share FROM d a JOIN d b ON a.key = b.key WHERE a.lang <> 'en' AND b.lang = 'en' GROUP BY 1")
 over("f274_two_hops", lambda l: L.two_hops(l.select(_c("src").alias("a"), (_c("fid") % 100).alias("b")), l.select(_c("src").alias("node")).distinct()), "links", oracle="WITH e AS (SELECT DISTINCT src AS a, fid % 100 AS b FROM {links}), o AS (SELECT a AS node, b AS \"to\", 1 AS hops FROM e UNION ALL SELECT x.a, y.b, 2 FROM e x JOIN e y ON x.b = y.a) SELECT node, \"to\", min(hops) AS hops FROM o WHERE node <> \"to\" GROUP BY 1, 2")
-over("f073_version_suffix", lambda v: L.suffix_versions(v.where("okey % 3 = 0").select(F.concat(F.lit("guide-"), _c("version")).alias("stem")).unionByName(v.where("okey % 5 = 0").select(_c("version").alias("stem"))), v.where("okey % 17 <> 0").select("version")), "versions", oracle="SELECT version, CASE WHEN okey % 5 = 0 THEN version WHEN okey % 3 = 0 THEN 'guide-' || version END AS stem FROM {versions} WHERE okey % 17 <> 0")
-over("f069_origin_rows", lambda f: f.where("fid % 4 <> 0").select(_c("path").alias("source"), F.when(_c("fid") % 3 == 0, F.concat(F.lit("moved/"), _c("path"))).alias("m")).select(F.concat(F.lit("/old/"), "source").alias("from"), F.coalesce("m", P.to_markdown(_c("source"))).alias("to"), F.lit(301).alias("status")), "files", oracle=r"""SELECT '/old/' || path AS "from", CASE WHEN fid % 3 = 0 THEN 'moved/' || path ELSE regexp_replace(path, '\.x?html?$', '.md', 'i') END AS "to", 301 AS status FROM {files} WHERE fid % 4 <> 0""")
 over("f071_listed", lambda f, l: f.join(l.select(F.lower("target").alias("_t")).distinct(), F.lower("path") == _c("_t"), "left_semi").select("fid"), "files", "links", oracle="SELECT fid FROM {files} WHERE lower(path) IN (SELECT lower(target) FROM {links})")
 over("f095_redirect_coverage", lambda f, l: f.join(l.where("lid % 9 = 0").select(_c("target").alias("path")), "path", "left_anti").select("fid"), "files", "links", oracle="SELECT fid FROM {files} WHERE path NOT IN (SELECT target FROM {links} WHERE lid % 9 = 0)")
 over("f205_asset_outcome", lambda l, f: L.resolve_links(l, f).groupBy("verdict").agg(F.count("*").alias("n")), "links", "files", oracle="SELECT CASE WHEN target IN (SELECT path FROM {files}) THEN 'ok' WHEN lower(target) IN (SELECT lower(path) FROM {files}) THEN 'case' ELSE 'missing' END AS verdict, count(*) AS n FROM {links} GROUP BY 1")

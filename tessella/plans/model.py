@@ -47,6 +47,8 @@ RELATIONS = {
         CASE o_orderkey % 4 WHEN 0 THEN 'a/b/../c.htm' WHEN 1 THEN '../up/' || cast(o_orderkey % 50 AS string) || '.html' WHEN 2 THEN 'x.htm/y/./z.HTML' ELSE 'plain/' || o_orderpriority || '.png' END AS path_cell,
         o_orderpriority AS words_cell, o_orderstatus AS status_cell, o_totalprice AS price
         FROM (SELECT *, cast(extract(year FROM o_orderdate) AS string) AS y, lpad(cast(extract(month FROM o_orderdate) AS string), 2, '0') AS m, lpad(cast(extract(day FROM o_orderdate) AS string), 2, '0') AS d FROM {orders}) t""",
+    "menus": """SELECT tree, node, CASE WHEN node % 2 = 0 THEN node - 1 END AS parent, node AS pos, 'Topic ' || cast(k AS string) || ' of ' || cast(node AS string) AS title, 'p' || cast(k AS string) AS page, k, topic
+        FROM (SELECT l_orderkey AS tree, l_partkey % 40 AS k, l_suppkey AS topic, cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS int) AS node FROM {lineitem}) t""",
     "texts": "SELECT doc_id, source, lang, text, lower(text) AS low FROM {documents}",
 }
 

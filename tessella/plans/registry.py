@@ -38,4 +38,4 @@ def scalar(name: str, relation: str, key: str, value: Callable[[], Column], orac
     ORACLE[name] = model.sql(f"SELECT {key}, {oracle} AS value FROM {{{relation}}}")
 
 
-from tessella.plans import aggregates, catalog, checks, documents, io, joins, scalars, trees, whole  # noqa: E402, F401  (they register themselves)
+from tessella.plans import aggregates, catalog, checks, documents, io, joins, pages, scalars, stages, trees, whole  # noqa: E402, F401  (they register themselves)

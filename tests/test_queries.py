@@ -41,7 +41,8 @@ def test_query_equals_sql(spark, sf, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE)))
 def test_query_without_sql_runs(spark, sf, name):
-    assert registry.QUERIES[name](spark, sf).columns
+    rows = registry.QUERIES[name](spark, sf).collect()
+    assert rows and any(v is not None for r in rows for v in r)
 
 
 def test_entry(spark):

@@ -9,13 +9,13 @@ from tessella.plans import registry
 from tessella.plans.model import relation
 
 
-@pytest.mark.parametrize("name, main", [("f032_append_all", "findings"), ("f262_rename_rows_all", "files"), ("f076_longest_suffix_all", "files"), ("f073_version_suffix_all", "versions"), ("f069_origin_rows_all", "files"), ("f020_help_map_all", "ids"), ("f014_listing_all", "nation")])
+@pytest.mark.parametrize("name, main", [("f032_append", "findings"), ("f262_rename_rows", "files"), ("f076_longest_suffix", "files"), ("f073_version_suffix", "versions"), ("f069_origin_rows", "files"), ("f020_help_map", "ids"), ("f014_listing", "nation")])
 def test_every_row_is_taken(spark, sf, name, main):
     assert registry.QUERIES[name](spark, sf).count() == relation(spark, sf, main).count() > 0
 
 
 def test_sentences_after_the_first_line_are_looked_for(spark, sf):
-    found = registry.QUERIES["f152_sentence_present_all"](spark, sf)
+    found = registry.QUERIES["f152_sentence_present"](spark, sf)
     assert found.count() > 2 * found.select("doc_id").distinct().count()
 
 
@@ -34,7 +34,7 @@ def blocks(text):
 
 def test_markdown_blocks_of_whole_texts(spark, sf):
     got = {}
-    for r in registry.QUERIES["f196_markdown_blocks_all"](spark, sf).orderBy("doc_id", "pos").collect():
+    for r in registry.QUERIES["f196_markdown_blocks"](spark, sf).orderBy("doc_id", "pos").collect():
         got.setdefault(r.doc_id, []).append(r.block)
     want = {r.doc_id: blocks(r.text or "") for r in relation(spark, sf, "documents").collect()}
     assert got == {d: b for d, b in want.items() if b}
