@@ -50,14 +50,16 @@ def test_decontamination(spark):
     docs = [*rows, (900, None), rows[2], (None, rows[0][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = sorted(map(repr, brute.contamination(docs, items)))
-    for block in (decontamination.BLOCK_BYTES, 40):  # one block, and several passes
+    for block in (decontamination.BLOCK_BYTES, 40):  # a set that is broadcast, and a join
         got = decontamination.report(frame(spark, docs), bench, block_bytes=block).collect()
         assert sorted(repr(tuple(r)) for r in got) == want
     dirty = {x[0] for x in brute.contamination(docs, items) if x[5]}
     kept = decontamination.clean(frame(spark, docs), bench)
     assert kept.columns == ["doc_id", "text", "score", "n_words"]
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((d for d, _ in docs if d not in dirty), key=repr)
+    assert sorted(map(repr, decontamination.clean(frame(spark, docs), bench, block_bytes=40).collect())) == sorted(map(repr, kept.collect()))
     spans = {r.doc_id: r.text for r in decontamination.clean(frame(spark, docs), bench, remove="spans").collect()}
+    assert {r.doc_id: r.text for r in decontamination.clean(frame(spark, docs), bench, remove="spans", block_bytes=40).collect()} == spans
     assert spans[900] is None and not any(x[5] for x in brute.contamination([(d, t) for d, t in spans.items()], items) if x[0] == 0)
     assert decontamination.report(frame(spark, []), bench).count() == 0
     assert not any(r.contaminated for r in decontamination.report(frame(spark, docs), bench.limit(0)).collect())
