@@ -13,7 +13,7 @@ Counting is combined within each task and slice before the one shuffle, whose ro
 (language, n-gram) pairs. What is broadcast is one profile for each language, at most `max_languages` of them.
 
 Defined results: a null text or one without letters is `und` with score 0; rows without a language or
-text teach nothing; without any training rows every document is `und`; repeated rows count as often as they occur;
+text teach nothing; without any training rows every document is `und`; repeated rows count as often as they occur; a row without an id is predicted and not held out;
 columns other than id, text and (for training) language are ignored.
 """
 
@@ -171,10 +171,10 @@ def predict(documents: DataFrame, profiles: DataFrame, id_col: str = "doc_id", t
 
 
 def held_out(id_col: str = "doc_id", parts: int = 3, part: int = 1) -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
 def report(documents: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """Learns from the rows that aren't held out and predicts all: id, held_out, lang_pred, score."""
-    profiles = train(documents.where(~F.coalesce(held_out(id_col), F.lit(False))), lang_col, text_col)
+    profiles = train(documents.where(~held_out(id_col)), lang_col, text_col)
     return predict(documents, profiles, id_col, text_col).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")

@@ -117,3 +117,34 @@ def ppm(train, text, order):
                 total += math.log10(d / (n + d))
             excluded |= set(seen)
     return total
+
+
+def profile(text, size=300):
+    """The most frequent n-grams of 1 to 3 characters, as integers, ties by value."""
+    letters = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else "\x01" for c in text or "")
+    s = "\x01" + re.sub("\x01+", "\x01", letters + "\x01").removeprefix("\x01")
+    counts = collections.Counter()
+    for i in range(1, len(s)):
+        for n in (1, 2, 3):
+            gram = s[max(0, i - n + 1) : i + 1]
+            if len(gram) == n and (gram != "\x01" if n == 1 else "\x01" not in gram[1:-1] and gram != "\x01\x01"):
+                counts[sum(ord(c) << 21 * k for k, c in enumerate(reversed(gram)))] += 1
+    return counts
+
+
+def language(docs, taught, size=300):
+    """docs: (id, text); taught: (text, lang); (id, prediction, score)."""
+    totals = collections.defaultdict(collections.Counter)
+    for t, lang in taught:
+        totals[lang].update(profile(t))
+    top = lambda counts: [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]]
+    ranks = {lang: {g: r for r, g in enumerate(top(c))} for lang, c in totals.items()}
+    out = []
+    for i, t in docs:
+        own = top(profile(t))
+        if not own:
+            out.append((i, "und", 0.0))
+            continue
+        far = sorted((sum(abs(r - ranks[lang][g]) if g in ranks[lang] else size for r, g in enumerate(own)) / (len(own) * size), lang) for lang in ranks)
+        out.append((i, far[0][1], far[1][0] / (far[0][0] + far[1][0])))
+    return out

@@ -137,6 +137,19 @@ def test_language_id(spark, sf):
     assert language_id.report(odd.limit(0)).count() == 0
 
 
+def test_language_id_against_brute_force(spark):
+    r = random.Random(6)
+    words = {"x": ["der", "die", "größe", "und", "ist"], "y": ["the", "of", "and", "is", "İt's"], "z": ["日本", "語は", "の"]}
+    rows = [(i, " ".join(r.choice(words[lang]) for _ in range(r.randrange(1, 60))) + r.choice(["", " 12", "!\n?"]), lang) for i in range(60) for lang in [r.choice("xyz")]]
+    rows += [(100, "the und " * 9000, "y"), (101, None, "x"), (102, "", None), (103, " 7 !", "z"), (None, "der of", None), (5, "die und", "x"), (5, "die und", "x")]
+    df = spark.createDataFrame([(*x, 1, "q") for x in rows], "doc_id long, text string, lang string, rank int, gram string")
+    taught = [(t, lang) for i, t, lang in rows if lang and t is not None and (i is None or zlib.crc32(str(i).encode()) % 3 != 1)]
+    want = sorted(((i, p, round(v, 9)) for i, p, v in brute.language([x[:2] for x in rows], taught)), key=repr)
+    got = language_id.report(df).collect()
+    assert sorted(((x.doc_id, x.lang_pred, round(x.score, 9)) for x in got), key=repr) == want
+    assert all(x.held_out == (x.doc_id is not None and zlib.crc32(str(x.doc_id).encode()) % 3 == 1) for x in got)
+
+
 def test_out_of_place_distance():
     profiles = language_id.Profiles([("a", 5, 0), ("a", 9, 1), ("b", 9, 0)], size=300)
     d = profiles.distances(np.array([9, 5], dtype=np.uint64))
@@ -374,6 +387,21 @@ def test_bag_minhash_large_buckets_need_no_leader(spark):
     assert got == sorted(brute.near_classes(docs))
 
 
+def test_bag_minhash_finds_every_link_near_the_threshold(spark):
+    """Link recall: 400 pairs of texts whose similarity is 0.8 to 0.86."""
+    r, docs, linked = random.Random(11), [], 0
+    for i in range(400):
+        words = [f"{i}w{k}" for k in range(140)]
+        other = list(words)
+        for k in sorted(r.sample(range(27), r.choice([2, 3]))):
+            other[k * 5 + r.randrange(5)] = f"{i}c{k}"
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        linked += brute.overlap(brute.shingles(docs[-2][1]), brute.shingles(docs[-1][1])) >= 0.8
+    found = {x.doc_id: x.class_id for x in bag_minhash.classes(frame(spark, docs)).collect()}
+    links = sum(brute.overlap(brute.shingles(docs[2 * i][1]), brute.shingles(docs[2 * i + 1][1])) >= 0.8 and found[2 * i] == found[2 * i + 1] for i in range(400))
+    assert linked > 200 and links == linked
+
+
 def test_bag_minhash_refuses_thresholds_it_would_not_honour(spark):
     with pytest.raises(ValueError):
         bag_minhash.classes(frame(spark, [(1, "a b c")]), threshold=0.5)
