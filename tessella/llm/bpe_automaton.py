@@ -267,9 +267,8 @@ class Encoder:
         self.before: dict[str, bytes] = {}
 
     def release(self) -> None:
-        """Give back what reading texts has filled; the compiled automaton stays, about 10 MB."""
+        """Give back the texts' pieces; the automaton stays, with its steps, which are bounded and dear to find again."""
         self.known, self.before = {}, {}
-        self.automaton.forget()
 
     def piece(self, piece: str) -> bytes:
         """Ids, as little-endian 32-bit integers, of a prepared text without white space."""
@@ -321,7 +320,7 @@ _compiled: dict[str, Encoder] = {}  # of one vocabulary file: what a worker keep
 
 @contextmanager
 def _encoder(spec: str) -> Iterator[Encoder]:
-    """The compiled file for one task; the tables that the task fills are released at its end."""
+    """The compiled file for one task; the pieces that the task has met are released at its end."""
     name = hashlib.sha256(spec.encode()).hexdigest()
     if name not in _compiled:
         _compiled.clear()
