@@ -144,5 +144,5 @@ def even_sample(rows: DataFrame, order: str, size: int) -> DataFrame:
 
 
 def seeded_sample(rows: DataFrame, key: str, seed: int, size: int) -> DataFrame:
-    """The `size` rows of least hash of key and seed: the same rows for the same seed, whatever the partitioning."""
-    return rows.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(size)
+    """The `size` rows of least digest of seed and key: the same rows for the same seed, whatever the partitioning or engine."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))), key).limit(size)

@@ -11,9 +11,10 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 from tessella.functions.text import ALERTS
+from tessella.shipping import ship
 
 #: Elements whose text joins the run around them (every other one is a block), and those that are no content.
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var wbr nobr madcap:variable madcap:xref madcap:keyword".split())
@@ -519,6 +520,8 @@ _IMAGE = T.ArrayType(T.StructType([T.StructField("src", T.StringType()), T.Struc
 def _column(html: Column, kind: T.DataType, one: Callable[[str], object]) -> Column:
     """A function of a page over Arrow batches; null for a null page."""
 
+    ship(SparkSession.active())
+
     def run(pages: pd.Series) -> pd.Series:
         return pages.map(lambda p: None if p is None else one(p))
 

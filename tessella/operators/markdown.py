@@ -11,9 +11,10 @@ import re
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tessella.functions import text as X
+from tessella.shipping import ship
 
 #: CommonMark's elements that open a block of HTML.
 HTML_BLOCK = """address article aside base basefont blockquote body caption center col colgroup dd details dialog dir div dl dt
@@ -191,6 +192,8 @@ _LINK = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.Stru
 
 
 def _column(text: Column, kind: T.DataType, one: Callable[[str], object]) -> Column:
+    ship(SparkSession.active())
+
     def run(pages: pd.Series) -> pd.Series:
         return pages.map(lambda p: None if p is None else one(p))
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.operators import findings as O
+from tessella.operators import rules as U
 from tessella.plans.model import relation
 from tessella.plans.registry import over, query
+from tessella.sources import readers as R
 
+_c = F.col
 _occ = "greatest(coalesce(n, 1), 1)"
 _last = "SELECT slug, version, stage, max(happened) FILTER (outcome = 'ok') AS ok_at, max(happened) FILTER (outcome = 'failed') AS failed_at FROM {stage_events} GROUP BY 1, 2, 3"
 
@@ -29,18 +32,18 @@ over("f133_sync_status", O.staleness, "stage_events", done="synced", since="conv
 over("f034_prune", lambda f: O.prune(f, 5, ["C1", "C2"]).select("id", "run_id"), "findings", oracle="SELECT id, run_id FROM {findings} f WHERE run_id IN (SELECT DISTINCT run_id FROM {findings} ORDER BY run_id DESC LIMIT 5) OR id IN (SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY code, slug, version ORDER BY run_id DESC, id DESC) AS r FROM {findings} WHERE code IN ('C1', 'C2')) t WHERE r = 1)")
 over("f234_fold_notes", O.fold_notes, "findings", oracle=f"SELECT run_id, code, slug, version, sum({_occ}) AS occurrences, arg_min(path, id) AS path FROM {{findings}} WHERE severity = 'note' GROUP BY 1, 2, 3, 4 UNION ALL SELECT run_id, code, slug, version, {_occ}, path FROM {{findings}} WHERE severity <> 'note'")
 over("f118_repair_census", O.repair_census, "pages", pattern="<br>", oracle="SELECT page_id, len(regexp_extract_all(html, '<br>')) AS hits FROM {pages} WHERE contains(html, '<br>')")
-over("f115_outcome_counts", lambda e: e.groupBy("stage", "outcome").agg(F.count("*").alias("n")), "stage_events", oracle="SELECT stage, outcome, count(*) AS n FROM {stage_events} GROUP BY 1, 2")
-over("f116_flag_medians", lambda f: f.groupBy("slug").agg(F.floor(F.percentile("words", 0.5)).alias("median_words"), F.count("*").alias("pages"), F.countDistinct("code").alias("branches")), "findings", oracle="SELECT slug, cast(floor(quantile_cont(words, 0.5)) AS bigint) AS median_words, count(*) AS pages, count(DISTINCT code) AS branches FROM {findings} GROUP BY 1")
-over("f117_flag_tally", lambda f: f.select(F.explode(F.array_compact(F.array(F.when(F.col("words") > 50000, "long"), F.when(F.col("n").isNull(), "uncounted"), F.when(F.col("severity") == "error", "broken")))).alias("flag")).groupBy("flag").agg(F.count("*").alias("n")), "findings", oracle="SELECT 'long' AS flag, count(*) AS n FROM {findings} WHERE words > 50000 UNION ALL SELECT 'uncounted', count(*) FROM {findings} WHERE n IS NULL UNION ALL SELECT 'broken', count(*) FROM {findings} WHERE severity = 'error'")
+over("f115_outcome_counts", lambda e: U.outcome_counts(e, "stage", "outcome"), "stage_events", oracle="SELECT stage, outcome, count(*) AS n FROM {stage_events} GROUP BY 1, 2")
+over("f116_flag_medians", lambda f: U.page_medians(f.select(_c("slug").alias("page"), "words", _c("code").alias("branch"))), "findings", oracle="SELECT slug AS page, floor(quantile_cont(words, 0.5))::bigint AS median_words, count(*) AS topics, count(DISTINCT code) AS branches FROM {findings} GROUP BY 1")
+over("f117_flag_tally", lambda f: U.tally(U.flagged(f, {"long": _c("words") > 50000, "uncounted": _c("n").isNull(), "broken": _c("severity") == "error", "never": _c("words") < 0}), ["long", "uncounted", "broken", "never"]), "findings", oracle="SELECT 0 AS rank, 'long' AS flag, count(*) FILTER (words > 50000) AS n FROM {findings} UNION ALL SELECT 1, 'uncounted', count(*) FILTER (n IS NULL) FROM {findings} UNION ALL SELECT 2, 'broken', count(*) FILTER (severity = 'error') FROM {findings} UNION ALL SELECT 3, 'never', 0")
 over("f141_lowest_scores", lambda f: O.lowest_scores(f.select("id", "words"), "words", "id"), "findings", oracle="SELECT id, words FROM {findings} ORDER BY words, id LIMIT 40")
 over("f139_even_sample", lambda v: O.even_sample(v.select("okey"), "okey", 100), "versions", oracle="SELECT okey FROM (SELECT okey, row_number() OVER (ORDER BY okey) - 1 AS i, count(*) OVER () AS c FROM {versions}) t WHERE floor((i + 1) * 100 / c::double) > floor(i * 100 / c::double)")
-over("f140_seeded_sample", lambda v: O.seeded_sample(v.select("okey"), "okey", 7, 50), "versions")
-over("f096_pivot_sum", lambda f: f.groupBy("slug").agg(*[F.sum(F.when(F.col("kind") == k, F.col("bytes")).otherwise(0)).alias(k) for k in ("economy", "standard")]), "files", oracle="SELECT slug, sum(CASE WHEN kind = 'economy' THEN bytes ELSE 0 END)::bigint AS economy, sum(CASE WHEN kind = 'standard' THEN bytes ELSE 0 END)::bigint AS standard FROM {files} GROUP BY 1")
-over("f108_inventory_buckets", lambda f: f.groupBy(F.split_part("path", F.lit("/"), F.lit(1)).alias("root"), "kind").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")), "files", oracle="SELECT split_part(path, '/', 1) AS root, kind, count(*) AS files, sum(bytes)::bigint AS bytes FROM {files} GROUP BY 1, 2")
-over("f110_tree_measure", lambda f: f.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")), "files", oracle="SELECT count(*) AS files, sum(bytes)::bigint AS bytes FROM {files}")
-over("f107_published_counts", lambda f: f.groupBy("slug").agg(F.countDistinct(F.split_part("path", F.lit("/"), F.lit(1))).alias("folders")), "files", oracle="SELECT slug, count(DISTINCT split_part(path, '/', 1)) AS folders FROM {files} GROUP BY 1")
-over("f114_extraction_totals", lambda v: v.agg(F.count("topics").alias("measured"), F.sum("topics").alias("topics"), F.count_if(F.col("topics") == 0).alias("empty")), "versions", oracle="SELECT count(topics) AS measured, sum(topics)::bigint AS topics, count(*) FILTER (topics = 0) AS empty FROM {versions}")
-over("f120_word_conservation", lambda f: f.groupBy("slug").agg(F.sum("words").alias("w"), F.sum(F.when(F.col("stage") == "verify", F.col("words")).otherwise(0)).alias("a"), F.sum(F.when(F.col("stage") != "verify", F.col("words")).otherwise(0)).alias("b")).select("slug", (F.col("w") == F.col("a") + F.col("b")).alias("conserved")), "findings", oracle="SELECT DISTINCT slug, true AS conserved FROM {findings}")
+over("f140_seeded_sample", lambda v: O.seeded_sample(v.select("okey"), "okey", 7, 50), "versions", oracle="SELECT okey FROM {versions} ORDER BY md5('7|' || okey), okey LIMIT 50")
+over("f096_pivot_sum", lambda f: U.pivot_sum(f.withColumn("kind", F.split_part("kind", F.lit(" "), F.lit(1))), ["slug"], "kind", "bytes", ["economy", "standard", "none"]), "files", oracle="SELECT slug, sum(CASE WHEN split_part(kind, ' ', 1) = 'economy' THEN bytes ELSE 0 END)::bigint AS economy, sum(CASE WHEN split_part(kind, ' ', 1) = 'standard' THEN bytes ELSE 0 END)::bigint AS standard, 0::bigint AS none FROM {files} GROUP BY 1")
+over("f108_inventory_buckets", lambda f: U.buckets(f.withColumn("root", F.split_part("path", F.lit("/"), F.lit(1))), ["root", "kind"]), "files", oracle="SELECT split_part(path, '/', 1) AS root, kind, count(*) AS files, sum(bytes)::bigint AS bytes FROM {files} GROUP BY 1, 2")
+over("f110_tree_measure", U.measure, "files", oracle="SELECT count(*) AS files, sum(bytes)::bigint AS bytes FROM {files}")
+over("f107_published_counts", lambda f: U.published_counts(R.published(f.select(F.concat(F.lit("en-us/"), _c("slug"), F.lit("/guide/"), F.replace("path", F.lit("guide"), F.lit("v"))).alias("path")))), "files", oracle="SELECT slug, count(DISTINCT split_part(path, '/', 1)) AS folders FROM {files} GROUP BY 1")
+over("f114_extraction_totals", U.extraction_totals, "versions", oracle="SELECT count(topics) AS measured, sum(topics)::bigint AS topics, count(*) FILTER (topics = 0) AS empty FROM {versions}")
+over("f120_word_conservation", lambda f: U.conserved(f.select(_c("slug").alias("page"), "words", F.when(_c("severity") == "note", 2).alias("added")), f.groupBy(_c("slug").alias("page")).agg(F.sum("words").alias("words"))), "findings", oracle="SELECT slug AS page, 2 * count(*) FILTER (severity = 'note') AS lost FROM {findings} GROUP BY 1 HAVING count(*) FILTER (severity = 'note') > 0")
 
 
 @query("WITH c AS (SELECT slug, 'R00' || cast(run_id % 3 AS string) AS repair, count(*) AS hits FROM {findings} GROUP BY 1, 2) SELECT slug, string_agg(repair || '(' || hits || ')', ' ' ORDER BY repair) AS pending FROM c GROUP BY 1")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions.values import natural_key
 from tessella.operators import checks as K
+from tessella.operators import rules as U
 from tessella.plans.registry import over, scalar
 
 _c = F.col
@@ -23,15 +24,15 @@ over("f091_secondary_copies", lambda f: K.secondary_copies(f.withColumn("path",
 over("f093_inbound_orphans", lambda l, f: K.inbound(l, f, _c("fid") % 3 != 0), "links", "files", oracle="SELECT lid, src, fid FROM {links} WHERE src % 3 <> 0 AND fid % 3 = 0 AND src IN (SELECT fid FROM {files})")
 over("f121_layout_audit", lambda f: K.layout_audit(f.where("fid % 7 <> 0").select(_c("slug").alias("page"), _c("brand").alias("topic")).unionByName(f.where("fid < 3").select(_c("slug").alias("page"), F.concat(F.lit("x"), _c("fid").cast("string")).alias("topic"))), f.select(_c("brand").alias("topic")).distinct().unionByName(f.where("fid = 0").select(F.lit("never").alias("topic")))), "files", oracle="SELECT brand AS topic, 'repeated' AS fault FROM {files} WHERE fid % 7 <> 0 GROUP BY 1 HAVING count(DISTINCT slug) > 1 UNION ALL SELECT 'x' || fid, 'unknown' FROM {files} WHERE fid < 3 UNION ALL SELECT 'never', 'lost'")
 over("f134_natural_order", lambda v: v.groupBy("slug").agg(F.max_by("version", F.struct(natural_key(_c("version")), "version")).alias("newest")), "versions", oracle=r"SELECT slug, newest FROM (SELECT slug, version AS newest, row_number() OVER (PARTITION BY slug ORDER BY regexp_matches(version, '^\d'), CASE WHEN regexp_matches(version, '^\d') THEN 0 END, [cast(p AS bigint) FOR p IN regexp_extract_all(version, '\d+')] DESC) AS r FROM {versions}) t WHERE r = 1")
-over("f136_document_order", lambda f: f.orderBy(F.when(_c("kind") == "economy", 0).otherwise(1), F.lower("brand"), F.lower("path")).select("fid"), "files", oracle="SELECT fid FROM {files} ORDER BY CASE WHEN kind = 'economy' THEN 0 ELSE 1 END, lower(brand), lower(path)")
-over("f142_ordered_union", lambda n: n.where("words <= 25").select("node", F.lit(0).alias("side")).unionByName(n.where("words > 25").select("node", F.lit(1).alias("side"))).orderBy("side", "node"), "nodes", oracle="SELECT node, 0 AS side FROM {nodes} WHERE words <= 25 UNION ALL SELECT node, 1 FROM {nodes} WHERE words > 25")
+over("f136_document_order", lambda f: U.document_order(f.select("fid", "slug", F.split_part("kind", F.lit(" "), F.lit(1)).alias("kind"), _c("brand").alias("title"), _c("path").alias("name")), "slug", ["economy", "small"]).select("fid", "place"), "files", oracle="SELECT fid, row_number() OVER (PARTITION BY slug ORDER BY CASE split_part(kind, ' ', 1) WHEN 'economy' THEN 1 WHEN 'small' THEN 2 ELSE 3 END, lower(brand), lower(path)) AS place FROM {files}")
+over("f142_ordered_union", lambda n: U.in_order(n.where("words <= 10").select("node"), n.where("words > 10 and words <= 25").select("node"), n.where("words > 25").select("node")).orderBy("side", "node"), "nodes", oracle="SELECT node, CASE WHEN words <= 10 THEN 0 WHEN words <= 25 THEN 1 ELSE 2 END AS side FROM {nodes} ORDER BY side, node")
 over("f212_merged_page", lambda n: K.merged_page(n.select((_c("node") % 40).alias("page"), "pos", _c("title").alias("text")), "page"), "nodes", oracle="SELECT node % 40 AS page, string_agg(title, chr(10) || chr(10) ORDER BY pos) AS text FROM {nodes} GROUP BY 1")
 over("f217_outermost_roots", lambda f: K.outermost(f.select(F.when(_c("fid") % 4 == 1, F.split_part("path", F.lit("/"), F.lit(1))).otherwise(F.regexp_replace("path", "/[^/]*$", "")).alias("root")).distinct()), "files", oracle="WITH r AS (SELECT DISTINCT CASE WHEN fid % 4 = 1 THEN split_part(path, '/', 1) ELSE regexp_replace(path, '/[^/]*$', '') END AS root FROM {files}) SELECT root FROM r WHERE NOT EXISTS (SELECT 1 FROM r AS o WHERE starts_with(r.root, o.root || '/'))")
-over("f226_page_per_row", lambda n: n.groupBy("title").agg(F.min("node").alias("node")), "nodes", oracle="SELECT title, min(node) AS node FROM {nodes} GROUP BY 1")
+over("f226_page_per_row", lambda n: U.single(n.select((_c("node") % 3).alias("guide"), _c("title").alias("source"), "pos")), "nodes", oracle="SELECT node % 3 AS guide, title AS source, min(pos) AS pos FROM {nodes} GROUP BY 1, 2")
 over("f245_confirm", lambda f: K.confirm(f.select("fid", "slug", F.when(_c("fid") % 2 == 0, "fixed").otherwise("needed").alias("state")), f.where("fid % 50 < 10"), "slug").select("fid", "state"), "files", oracle="SELECT fid, CASE WHEN fid % 2 = 1 THEN 'needed' WHEN fid % 50 < 10 THEN 'confirmed' ELSE 'fixed' END AS state FROM {files}")
 scalar("f252_declaration", "cells", "k", lambda: K.declaration(F.when(_c("k") % 3 == 0, "http://h/x").otherwise("http://h/{path}"), _c("count_cell")), "CASE WHEN k % 3 = 0 THEN 'no path' WHEN k % 6 = 1 THEN '' WHEN k % 6 = 5 THEN '' WHEN k % 6 = 4 THEN 'drop' ELSE 'drop' END")
 over("f254_own_language", lambda f: K.own_language(f.select(_c("slug").alias("site"), F.concat(F.when(_c("fid") % 50 < 10, F.when(_c("fid") % 3 == 0, "fr-fr/").otherwise("en-us/")).otherwise(""), "path").alias("path")), "en-us"), "files", oracle="SELECT slug AS site, CASE WHEN fid % 50 < 10 THEN 'en-us/' ELSE '' END || path AS path FROM {files} WHERE fid % 50 >= 10 OR fid % 3 <> 0")
-over("f256_index_completeness", lambda f: f.join(f.where("fid % 5 <> 0").select(F.lower("path").alias("_l")), F.lower("path") == _c("_l"), "left_anti").select("path"), "files", oracle="SELECT path FROM {files} WHERE fid % 5 = 0")
+over("f256_index_completeness", lambda f: U.unindexed(f.select("path"), f.where("fid % 5 <> 0").select(F.upper("path").alias("target"))), "files", oracle="SELECT path FROM {files} WHERE lower(path) NOT IN (SELECT lower(path) FROM {files} WHERE fid % 5 <> 0)")
 over("f266_ordinal_runs", lambda f: K.ordinal_runs(f.select("slug", _c("fid").alias("pos"), (F.floor(_c("fid") / 50) % 7).alias("number"), (_c("bytes") > 40000).alias("heading")), "slug").drop("run"), "files", oracle="WITH i AS (SELECT slug, fid AS pos, cast(floor(fid / 50) AS bigint) % 7 AS number, bytes > 40000 AS heading FROM {files}), h AS (SELECT *, sum(CASE WHEN heading THEN 1 ELSE 0 END) OVER (PARTITION BY slug ORDER BY pos) AS h FROM i), n AS (SELECT *, CASE WHEN number = lag(number) OVER w + 1 AND h = lag(h) OVER w THEN 0 ELSE 1 END AS fresh FROM h WHERE NOT heading WINDOW w AS (PARTITION BY slug ORDER BY pos)), r AS (SELECT *, sum(fresh) OVER (PARTITION BY slug ORDER BY pos) AS run FROM n) SELECT slug, min(pos) AS first, count(*) AS items FROM r GROUP BY slug, run")
 scalar("f268_roman", "cells", "k", lambda: K.roman(F.element_at(F.array(*map(F.lit, ["i", "iv", "ix", "xiv", "xxxix", "iiii", "abc", ""])), (_c("k") % 8 + 1).cast("int"))), "[1, 4, 9, 14, 39, NULL, NULL, NULL][k % 8 + 1]")
 over("f270_row_groups", lambda f: K.row_groups(f.select("slug", _c("fid").alias("pos"), "kind"), "slug", _c("kind") == "economy"), "files", oracle="SELECT slug, fid AS pos, sum(CASE WHEN kind = 'economy' THEN 1 ELSE 0 END) OVER (PARTITION BY slug ORDER BY fid)::bigint AS \"group\" FROM {files}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.functions import text as X
 from tessella.operators import documents as D
+from tessella.operators import rules as U
 from tessella.plans.model import relation
 from tessella.plans.registry import over, query, scalar
 
@@ -29,5 +30,5 @@ over("f081_images_missing", lambda d: D.images_missing(d.select(_c("doc_id").ali
 over("f255_document_check", lambda f: D.check_document(f.where("fid % 5 <> 0").select(_c("path").alias("name"), F.md5("brand").alias("digest")), f.where("fid % 7 <> 0").select(_c("path").alias("name"), F.md5(F.when(_c("fid") % 3 == 0, "kind").otherwise(_c("brand"))).alias("digest"))), "files", oracle="SELECT path AS name, CASE WHEN fid % 7 = 0 THEN 'missing' WHEN fid % 5 = 0 THEN 'extra' ELSE 'changed' END AS verdict FROM {files} WHERE NOT (fid % 7 = 0 AND fid % 5 = 0) AND (fid % 7 = 0 OR fid % 5 = 0 OR fid % 3 = 0)")
 over("f272_anchor_pruning", lambda f: D.anchors_kept(f.select(_c("slug").alias("page"), _c("brand").alias("anchor")).distinct(), f.where("fid % 9 = 0").select(_c("slug").alias("page"), F.upper("brand").alias("anchor"))), "files", oracle="SELECT DISTINCT slug AS page, brand AS anchor FROM {files} f WHERE EXISTS (SELECT 1 FROM {files} g WHERE g.fid % 9 = 0 AND g.slug = f.slug AND g.brand = f.brand)")
 over("f145_intersect_shingles", lambda d: d.select("doc_id", X.words(F.lower("text")).alias("w")).select("doc_id", F.size(F.array_intersect(F.slice("w", F.lit(1), F.floor(F.size("w") / 2).cast("int")), F.slice("w", F.floor(F.size("w") / 2).cast("int") + 1, F.size("w")))).alias("shared")), "documents", oracle=f"SELECT doc_id, len(list_intersect(w[1:cast(floor(len(w) / 2) AS int)], w[cast(floor(len(w) / 2) AS int) + 1:])) AS shared FROM (SELECT doc_id, {_words.format('lower(text)')} AS w FROM {{documents}}) t")
-over("f258_distinct_urls", lambda p: p.select(F.explode(F.regexp_extract_all("html", F.lit(r'href="(http[^"]*)"'), F.lit(1))).alias("url")).unionByName(p.select("url")).distinct(), "pages", oracle="SELECT DISTINCT url FROM (SELECT unnest(regexp_extract_all(html, 'href=\"(http[^\"]*)\"', 1)) AS url FROM {pages} UNION ALL SELECT url FROM {pages}) t")
+over("f258_distinct_urls", lambda p: U.external_urls(p.select(_c("page_id").alias("page"), F.concat(F.lit("[a]("), "url", F.lit(") [b](http://x/"), (_c("page_id") % 7).cast("string"), F.lit(") [c](local.md) `[d](http://no)`")).alias("text"))), "pages", oracle="SELECT url, count(DISTINCT page_id) AS pages FROM (SELECT page_id, url FROM {pages} UNION ALL SELECT page_id, 'http://x/' || (page_id % 7) FROM {pages}) t GROUP BY 1")
 over("f265_code_runs", lambda d: D.maximal_runs(d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")), "doc_id", "pos", F.length("line") > 60), "documents", oracle="WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM {documents}), h AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM l WHERE length(line) > 60) SELECT doc_id, min(pos) AS first, max(pos) AS last, count(*) AS length FROM h GROUP BY doc_id, g")

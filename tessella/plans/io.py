@@ -36,7 +36,7 @@ over("f007_sitemap", lambda p: p.select("page_id", F.explode(R.sitemap(F.concat(
 over("f008_incremental_walk", lambda f: R.changed(f.select(_c("path").alias("loc"), (_c("fid") % 3).cast("string").alias("lastmod")), f.where("fid % 5 <> 0").select(_c("path").alias("loc"), (_c("fid") % 4).cast("string").alias("lastmod")))[0], "files", oracle="SELECT path AS loc, cast(fid % 3 AS string) AS lastmod FROM {files} WHERE fid % 5 = 0 OR fid % 3 <> fid % 4")
 over("f016_published_tree", lambda f: R.published(f.select(F.concat(F.lit("en-us/"), _c("slug"), F.lit("/guide/1-0/"), _c("path")).alias("path"))).groupBy("locale", "slug", "doc_class", "segment").agg(F.count("*").alias("n")), "files", oracle="SELECT 'en-us' AS locale, slug, 'guide' AS doc_class, '1-0' AS segment, count(*) AS n FROM {files} GROUP BY slug")
 over("f018_js_table", lambda n: n.select("node", F.explode(R.toc(F.concat(F.lit("define({n:[{t:'"), _c("title"), F.lit("',h:'x.htm',n:[{t:'in',h:'y'},]}]});")), "define")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'x.htm' AS path FROM {nodes} UNION ALL SELECT node, 1, 'in', 'y' FROM {nodes}")
-over("f019_html_toc", lambda p: p.select("page_id", F.size(R.toc(_c("html"), "lists")).alias("n")), "pages")
+over("f019_html_toc", lambda p: p.select("page_id", F.explode(R.toc(F.concat(F.lit("<ul><li><a href='up.htm'>Up</a>"), "html"), "lists")).alias("e")).select("page_id", "e.*"), "pages", oracle=r"""SELECT page_id, 1 AS depth, trim(regexp_replace(unnest(regexp_extract_all(html, '(?is)<a\b[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2)), '<[^>]*>', '', 'g')) AS title, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS path FROM {pages} UNION ALL SELECT page_id, 0, 'Up', 'up.htm' FROM {pages}""")
 over("f021_yaml_toc", lambda n: n.select("node", F.explode(R.toc(F.concat(F.lit("docs:\n- title: "), _c("title"), F.lit("\n  url: a.md\n  subfolderlist:\n  - title: in\n    url: b.md\n")), "yaml")).alias("e")).select("node", "e.*"), "nodes", oracle="SELECT node, 0 AS depth, title, 'a.md' AS path FROM {nodes} UNION ALL SELECT node, 1, 'in', 'b.md' FROM {nodes}")
 over("f022_pdf_title", lambda f: f.select("fid", R.pdf_title(F.when(_c("fid") % 4 == 0, "Untitled").when(_c("fid") % 4 == 1, F.concat("brand", F.lit(".docx"))).otherwise(_c("brand"))).alias("title")), "files", oracle="SELECT fid, CASE WHEN fid % 4 > 1 THEN brand END AS title FROM {files}")
 over("f025_redirect_map", lambda f: f.select("fid", F.explode(R.redirect_map(F.when(_c("fid") % 2 == 0, F.concat(F.lit('{"a":"'), _c("path"), F.lit('"}'))).otherwise(F.concat(F.lit('[{"from":"a","to":"'), _c("path"), F.lit('"}]'))))).alias("e")).select("fid", "e.*"), "files", oracle="SELECT fid, 'a' AS \"from\", path AS \"to\" FROM {files}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.functions import paths as P
 from tessella.operators import links as L
+from tessella.operators import rules as U
 from tessella.plans.model import relation
 from tessella.plans.registry import over, query
 
@@ -22,21 +23,21 @@ over("f085_help_map_diff", L.map_diff, "ids", oracle="WITH s AS (SELECT slug, re
 _set = "SELECT slug, ident, min(target) AS target FROM {ids} GROUP BY 1, 2"
 over("f068_two_phase_ids", lambda i, e: L.two_phase(e.select("slug", F.concat(F.lit("ID"), (_c("event_id") % 310).cast("string")).alias("ident")).distinct(), i.groupBy("slug", "ident").agg(F.min("target").alias("target"))), "ids", "stage_events", oracle=f"WITH s AS ({_set}), a AS (SELECT DISTINCT slug, 'ID' || cast(event_id % 310 AS string) AS ident FROM {{stage_events}}), n AS (SELECT slug, count(*) AS n FROM s GROUP BY 1), b AS (SELECT ident, target FROM (SELECT ident, target, row_number() OVER (PARTITION BY ident ORDER BY n DESC, slug) AS r FROM s JOIN n USING (slug)) t WHERE r = 1) SELECT a.slug, a.ident, coalesce(s.target, b.target) AS target, CASE WHEN s.target IS NOT NULL THEN 'own' WHEN b.target IS NOT NULL THEN 'sibling' ELSE 'missing' END AS via FROM a LEFT JOIN s ON s.slug = a.slug AND s.ident = a.ident LEFT JOIN b ON b.ident = a.ident")
 over("f086_map_mirror", lambda i: L.mirror(i.where("release > 2").select("ident", _c("target").alias("page")).distinct(), i.where("release < 4").select("ident", F.when(_c("release") == 1, F.concat("target", F.lit("x"))).otherwise(_c("target")).alias("page")).distinct()), "ids", oracle="WITH a AS (SELECT DISTINCT ident, target AS page FROM {ids} WHERE release > 2), b AS (SELECT DISTINCT ident, CASE WHEN release = 1 THEN target || 'x' ELSE target END AS page FROM {ids} WHERE release < 4) SELECT *, 'map' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) x UNION ALL SELECT *, 'page' FROM (SELECT * FROM b EXCEPT SELECT * FROM a) y")
-over("f144_except_ids", lambda i: i.where("release % 2 = 1").select("slug", "ident").distinct().exceptAll(i.where("release % 2 = 0").select("slug", "ident")), "ids", oracle="SELECT slug, ident FROM {ids} WHERE release % 2 = 1 EXCEPT SELECT slug, ident FROM {ids} WHERE release % 2 = 0")
-over("f143_union_keys", lambda i: i.where("release % 2 = 1").select("slug", "ident").union(i.where("release % 2 = 0").select("slug", "ident")).distinct(), "ids", oracle="SELECT DISTINCT slug, ident FROM {ids}")
-over("f113_csh_coverage", lambda i: i.groupBy("slug").agg(F.countDistinct("ident").alias("idents"), F.countDistinct("target").alias("pages"), F.countDistinct("release").alias("releases")), "ids", oracle="SELECT slug, count(DISTINCT ident) AS idents, count(DISTINCT target) AS pages, count(DISTINCT release) AS releases FROM {ids} GROUP BY 1")
+over("f144_except_ids", lambda i: U.key_changes(i.where("release % 2 = 1").select("slug", "ident"), i.where("release % 2 = 0").select("slug", "ident")), "ids", oracle="SELECT slug, ident, CASE WHEN max(release % 2) = 1 THEN 'dropped' ELSE 'added' END AS change FROM {ids} GROUP BY 1, 2 HAVING count(DISTINCT release % 2) = 1")
+over("f143_union_keys", lambda i: U.all_keys(i.where("release % 2 = 1").select("slug", "ident"), i.where("release % 2 = 0").select("slug", "ident")), "ids", oracle="SELECT slug, ident, CASE WHEN count(DISTINCT release % 2) = 2 THEN 'both' WHEN max(release % 2) = 1 THEN 'present' ELSE 'listed' END AS side FROM {ids} GROUP BY 1, 2")
+over("f113_csh_coverage", lambda i: U.map_coverage(i, i.where("length(target) = 6").select("slug", "target")), "ids", oracle="WITH k AS (SELECT slug, ident, bool_or(length(target) = 6) AS opens FROM {ids} GROUP BY 1, 2), p AS (SELECT slug, count(DISTINCT target) AS pages FROM {ids} GROUP BY 1) SELECT slug, count(*) AS idents, count(*) FILTER (NOT opens) AS dropped, pages FROM k JOIN p USING (slug) GROUP BY slug, pages")
 over("f261_inverted_map", L.invert, "ids", oracle="SELECT slug, release, target, string_agg(DISTINCT ident, ' ' ORDER BY ident) AS idents FROM {ids} GROUP BY 1, 2, 3")
-over("f137_set_order", lambda i: i.groupBy("slug").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "slug"), "ids", oracle="SELECT slug, count(*) AS n FROM {ids} GROUP BY 1")
+over("f137_set_order", lambda i: U.set_order(i, "slug"), "ids", oracle="SELECT slug, count(*) AS n FROM {ids} GROUP BY 1 ORDER BY n DESC, slug")
 over("f087_dropdown_disk", lambda v, e: L.both_ways(v.select(_c("slug").alias("name")).distinct(), e.select(_c("slug").alias("name")).distinct()), "versions", "stage_events", oracle="SELECT slug AS name, 'no folder' AS verdict FROM (SELECT slug FROM {versions} EXCEPT SELECT slug FROM {stage_events}) a UNION ALL SELECT slug, 'no row' FROM (SELECT slug FROM {stage_events} EXCEPT SELECT slug FROM {versions}) b")
 over("f088_redirect_checks", lambda l, f: L.redirects(l.select(_c("target").alias("source"), F.when(_c("lid") % 2 == 0, F.lower("target")).otherwise(F.concat(F.lit("guide1/"), P.leaf(_c("target")))).alias("goal")).distinct(), f), "links", "files", oracle="WITH r AS (SELECT DISTINCT target AS source, CASE WHEN lid % 2 = 0 THEN lower(target) ELSE 'guide1/' || regexp_extract(target, '[^/]*$') END AS goal FROM {links}) SELECT source, goal, CASE WHEN lower(source) = lower(goal) THEN 'loop' WHEN goal NOT IN (SELECT path FROM {files}) THEN 'missing' WHEN source IN (SELECT path FROM {files}) THEN 'shadowed' ELSE 'ok' END AS verdict FROM r")
 over("f074_counterparts", lambda d: L.counterparts(d.select((_c("doc_id") % 40).alias("key"), "lang", _c("source").alias("text"))), "documents", oracle="WITH d AS (SELECT doc_id % 40 AS key, lang, source FROM {documents}) SELECT a.lang, count(*) AS pages, count(*) FILTER (a.source = b.source) AS same, cast(round_even(count(*) FILTER (a.source = b.source) * 100.0::double / count(*), 0) AS int) AS share FROM d a JOIN d b ON a.key = b.key WHERE a.lang <> 'en' AND b.lang = 'en' GROUP BY 1")
 over("f274_two_hops", lambda l: L.two_hops(l.select(_c("src").alias("a"), (_c("fid") % 100).alias("b")), l.select(_c("src").alias("node")).distinct()), "links", oracle="WITH e AS (SELECT DISTINCT src AS a, fid % 100 AS b FROM {links}), o AS (SELECT a AS node, b AS \"to\", 1 AS hops FROM e UNION ALL SELECT x.a, y.b, 2 FROM e x JOIN e y ON x.b = y.a) SELECT node, \"to\", min(hops) AS hops FROM o WHERE node <> \"to\" GROUP BY 1, 2")
-over("f071_listed", lambda f, l: f.join(l.select(F.lower("target").alias("_t")).distinct(), F.lower("path") == _c("_t"), "left_semi").select("fid"), "files", "links", oracle="SELECT fid FROM {files} WHERE lower(path) IN (SELECT lower(target) FROM {links})")
-over("f095_redirect_coverage", lambda f, l: f.join(l.where("lid % 9 = 0").select(_c("target").alias("path")), "path", "left_anti").select("fid"), "files", "links", oracle="SELECT fid FROM {files} WHERE path NOT IN (SELECT target FROM {links} WHERE lid % 9 = 0)")
+over("f071_listed", lambda f, l: U.in_order(*U.live_rows(f.select(F.concat(F.lit("https://h/"), F.replace("path", F.lit("_"), F.lit("%5F"))).alias("from")), l.select(F.concat(F.lit("/"), "target").alias("from")).withColumnRenamed("from", "url"))[:2]).select("from", "side"), "files", "links", oracle="SELECT 'https://h/' || replace(path, '_', '%5F') AS \"from\", CASE WHEN lower(path) IN (SELECT lower(target) FROM {links}) THEN 0 ELSE 1 END AS side FROM {files}")
+over("f095_redirect_coverage", lambda f, l: U.live_rows(l.where("lid % 9 = 0").select(F.concat(F.lit("/"), "target").alias("from")), f.select(F.concat(F.lit("https://h/"), "path").alias("url")))[2], "files", "links", oracle="SELECT 'https://h/' || path AS url FROM {files} WHERE lower(path) NOT IN (SELECT lower(target) FROM {links} WHERE lid % 9 = 0)")
 over("f205_asset_outcome", lambda l, f: L.resolve_links(l, f).groupBy("verdict").agg(F.count("*").alias("n")), "links", "files", oracle="SELECT CASE WHEN target IN (SELECT path FROM {files}) THEN 'ok' WHEN lower(target) IN (SELECT lower(path) FROM {files}) THEN 'case' ELSE 'missing' END AS verdict, count(*) AS n FROM {links} GROUP BY 1")
-over("f049_path_length", lambda f: f.agg(F.count_if(F.length("path") > 22).alias("over"), F.max(F.length("path")).alias("longest"), F.min_by("path", F.struct(-F.length("path"), _c("path"))).alias("path")), "files", oracle="SELECT count(*) FILTER (length(path) > 22) AS \"over\", max(length(path)) AS longest, (SELECT path FROM {files} ORDER BY length(path) DESC, path LIMIT 1) AS path FROM {files}")
+over("f049_path_length", lambda f: U.path_lengths(f.select(F.concat(F.repeat(F.lit("x"), F.lit(235)), "path").alias("path"))), "files", oracle="WITH p AS (SELECT repeat('x', 235) || path AS path FROM {files}) SELECT count(*) FILTER (length(path) > 259) AS over, max(length(path)) AS longest, arg_min(path, struct_pack(l := -length(path), p := path)) AS path FROM p")
 over("f046_api_marker", lambda f: f.groupBy(P.parent(_c("path")).alias("folder")).agg(F.bool_or(_c("path").endswith(".png") & (_c("fid") % 2 == 0)).alias("api")), "files", oracle="SELECT regexp_replace(path, '/[^/]*$', '') AS folder, bool_or(path LIKE '%.png' AND fid % 2 = 0) AS api FROM {files} GROUP BY 1")
-over("f128_first_per_key", lambda f: f.groupBy("slug").agg(F.min("fid").alias("fid"), F.min_by("path", "fid").alias("path")), "files", oracle="SELECT slug, fid, path FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY fid) AS r FROM {files}) t WHERE r = 1")
+over("f128_first_per_key", lambda f: U.first_per_key(f.select("slug", "fid", "path", "bytes"), ["slug"], ["bytes", "fid"], last=True), "files", oracle="SELECT slug, fid, path, bytes FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY bytes DESC, fid DESC) AS n FROM {files}) t WHERE n = 1")
 
 
 @query("SELECT v.slug, v.version, coalesce(d.ok, false) AS downloaded, coalesce(n.n, 0) AS findings, v.topics FROM {versions} v LEFT JOIN (SELECT slug, bool_or(outcome = 'ok') AS ok FROM {stage_events} WHERE stage = 'downloaded' GROUP BY 1) d USING (slug) LEFT JOIN (SELECT slug, count(*) AS n FROM {findings} GROUP BY 1) n USING (slug)")

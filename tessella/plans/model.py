@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessella.shipping import ship
+
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
 
 RELATIONS = {
@@ -54,6 +56,8 @@ RELATIONS = {
 
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table or a relation as a DataFrame; executors get the package, which functions of a page are called from."""
+    ship(spark)
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     text = RELATIONS[name]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.functions import paths as P
 from tessella.operators import documents as D, html as H, layout as Y, markdown as M, registries as G
+from tessella.plans import samples  # noqa: F401  (it registers an engine and a format)
 from tessella.plans.model import relation
 from tessella.plans.registry import query, scalar
 from tessella.sources import readers as R
@@ -213,3 +214,25 @@ def f241_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     G.install(spark)
     docs = relation(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", _md().alias("md"))
     return spark.sql("SELECT source, distinct_words(raw) AS words FROM {docs} d, LATERAL references(d.md) GROUP BY source", docs=docs)
+
+
+# A user's own generator and table of contents (plans/samples.py)
+
+
+@query("SELECT p_partkey, '## ' || p_name AS markdown FROM {part}")
+def f236_own_engine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page written by an engine that was registered by name."""
+    html = F.concat(F.lit("<p class=menu>x</p><div class=head>"), "p_name", F.lit("</div>"))
+    return relation(spark, sf_dir, "part").select("p_partkey", H.to_markdown(html, "shouting").alias("markdown"))
+
+
+@query("SELECT p_partkey, 'a __' || p_name || '__' || chr(10) || chr(10) || '> **Mind:**' || chr(10) || '> ' || p_brand AS markdown FROM {part}")
+def f237_hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = F.concat(F.lit("<p>a <u>"), "p_name", F.lit("</u></p><div data-box='Mind:'>"), "p_brand", F.lit("</div>"))
+    return relation(spark, sf_dir, "part").select("p_partkey", H.to_markdown(html, "shouting").alias("markdown"))
+
+
+@query("SELECT p_partkey, e.depth AS depth, CASE e.depth WHEN 0 THEN p_name ELSE p_brand END AS title, e.path AS path FROM {part}, (VALUES (0, 'a.md'), (1, 'b.md')) e(depth, path)")
+def f238_own_toc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat("p_name", F.lit(" = a.md\n  "), "p_brand", F.lit(" = b.md\n"))
+    return relation(spark, sf_dir, "part").select("p_partkey", F.explode(R.toc(text, "indented")).alias("e")).select("p_partkey", "e.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.functions import paths as P, text as X, values as V
+from tessella.operators import rules as L
 from tessella.plans.registry import scalar
 
 _c = F.col
@@ -35,7 +36,7 @@ scalar("f155_page_stem", "part", "p_partkey", lambda: X.page_stem(F.when(_c("p_p
 scalar("f160_title_from_filename", "files", "fid", lambda: X.title_from_filename(P.leaf(_c("path"))), r"trim(regexp_replace(regexp_replace(regexp_extract(path, '[^/]*$'), '\.[^.]*$', ''), '[_.-]+', ' ', 'g'))")
 scalar("f161_title_chain", "files", "fid", lambda: F.coalesce(F.when(_c("kind") == "economy", _c("kind")), F.when(_c("fid") % 2 == 0, _c("brand")), X.title_from_filename(P.leaf(_c("path")))), r"coalesce(CASE WHEN kind = 'economy' THEN kind END, CASE WHEN fid % 2 = 0 THEN brand END, trim(regexp_replace(regexp_replace(regexp_extract(path, '[^/]*$'), '\.[^.]*$', ''), '[_.-]+', ' ', 'g')))")
 scalar("f162_kind_routing", "files", "fid", lambda: F.when(_c("path").rlike(r"(?i)\.png$"), "image").when(_c("path").rlike("guide0/"), "guide").when(P.is_topic(_c("path")), "topic").otherwise("other"), r"CASE WHEN path ILIKE '%.png' THEN 'image' WHEN contains(path, 'guide0/') THEN 'guide' WHEN regexp_matches(lower(path), '\.x?html?$') THEN 'topic' ELSE 'other' END")
-scalar("f163_api_name", "files", "fid", lambda: F.array_join(F.filter(F.split("path", "/"), lambda p: ~p.startswith("guide")), "-"), "array_to_string(list_filter(string_split(path, '/'), lambda p: NOT starts_with(p, 'guide')), '-')")
+scalar("f163_api_name", "files", "fid", lambda: L.api_name(F.concat(P.parent(_c("path")), F.when(_c("fid") % 5 == 0, "/html").otherwise("/Doc/javadoc")), ["guide0", "guide1", "guide2", "guide3", "html", "doc"]), r"regexp_extract(path, '^[^/]*/(.*)/[^/]*$', 1) || CASE WHEN fid % 5 = 0 THEN '' ELSE '-javadoc' END")
 scalar("f164_fence", "cells", "k", lambda: X.fence(F.repeat(F.lit("`"), (_c("k") % 6).cast("int"))), "repeat('`', greatest(cast(k % 6 AS int) + 1, 3))")
 scalar("f165_markdown_escape", "cells", "k", lambda: X.markdown_escape(F.concat(_c("ref_cell"), F.lit("*_|"))), r"regexp_replace(ref_cell || '*_|', '([\\`*_\[\]<>#|])', '\\\1', 'g')")
 scalar("f165_table_cell", "documents", "doc_id", lambda: F.md5(X.table_cell(_c("text"))), r"md5(regexp_replace(replace(trim(text), '|', '\|'), '\r\n|\r|\n', '<br>', 'g'))")
@@ -47,8 +48,8 @@ scalar("f169_fold_newlines", "documents", "doc_id", lambda: F.md5(X.fold_newline
 scalar("f197_strip_inline", "pages", "page_id", lambda: F.md5(X.strip_inline(_c("html"))), "md5(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '!\\[[^\\]]*\\]\\([^)]*\\)', '', 'g'), '\\[([^\\]]*)\\]\\([^)]*\\)', '\\1', 'g'), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'))")
 scalar("f210_front_matter", "documents", "doc_id", lambda: X.front_matter(F.concat(F.lit("---\nlang: "), _c("lang"), F.lit("\n---\n"), _c("text"))), "'lang: ' || lang")
 scalar("f111_word_count", "documents", "doc_id", lambda: X.word_count(_c("text")), r"len(regexp_extract_all(text, '\S+'))")
-scalar("f198_cut_at_label", "documents", "doc_id", lambda: F.size(F.slice(F.split("text", "\n"), F.lit(1), F.when(F.array_position(F.split("text", "\n"), "Of.") > 0, F.array_position(F.split("text", "\n"), "Of.").cast("int") - 1).otherwise(F.size(F.split("text", "\n"))))), "coalesce(list_position(string_split(text, chr(10)), 'Of.') - 1, len(string_split(text, chr(10))))")
-scalar("f122_digest", "versions", "okey", lambda: F.substring(F.sha2(F.concat_ws("|", "slug", "version", "release_date"), 256), 1, 12), "substr(sha256(slug || '|' || version || '|' || release_date), 1, 12)")
+scalar("f198_cut_at_label", "documents", "doc_id", lambda: F.md5(F.array_join(L.cut_at(F.split("text", "\n"), ["of", "related topics"]), "|")), "(SELECT md5(array_to_string(list_slice(b, 1, coalesce(list_position(p, 'of') - 1, len(b))), '|')) FROM (SELECT string_split(text, chr(10)) AS b, [trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')) FOR x IN string_split(text, chr(10))] AS p) t)")
+scalar("f122_digest", "versions", "okey", lambda: L.fingerprint(_c("slug"), _c("version"), length=12), """substr(sha256('{"c0":"' || slug || '","c1":"' || version || '"}'), 1, 12)""")
 
 # dates, numbers, versions
 scalar("f170_iso_date", "cells", "k", lambda: V.iso_date(_c("date_cell")), _iso)
@@ -58,19 +59,19 @@ scalar("f173_release_month", "cells", "k", lambda: V.release_month(_c("date_cell
 scalar("f174_listed_title", "cells", "k", lambda: V.listed_title(_c("version_cell"), _c("date_cell")), f"version_cell || coalesce(' (' || strftime({_released}, '%b %Y') || ')', '')")
 scalar("f175_natural_key", "cells", "k", lambda: F.array_join(F.transform(V.natural_key(_c("version_cell")), lambda p: F.concat(p["rank"].cast("string"), F.lit(":"), p["number"].cast("string"), F.lit(":"), p["text"])), " "), r"array_to_string([CASE WHEN regexp_matches(p, '^\d') THEN '0:' || cast(cast(p AS bigint) AS string) || ':' ELSE '1:0:' || p END FOR p IN regexp_extract_all(lower(version_cell), '\d+|[^\d.]+')], ' ')")
 scalar("f176_percent", "cells", "k", lambda: V.percent(_c("k") % 17, _c("k") % 23), "CASE WHEN k % 23 = 0 THEN 100.0 ELSE round_even((k % 17) * 100.0::double / (k % 23), 1) END")
-scalar("f177_translation_share", "cells", "k", lambda: F.bround(F.lit(100.0) * (_c("k") % 19) / (_c("k") % 7 + 19)).cast("int"), "cast(round_even(100.0::double * (k % 19) / (k % 7 + 19), 0) AS int)")
+scalar("f177_translation_share", "cells", "k", lambda: L.share(_c("k") % 19, F.when(_c("k") % 11 == 0, 0).otherwise(_c("k") % 7 + 19)), "CASE WHEN k % 11 = 0 THEN 0 ELSE cast(round_even(100.0::double * (k % 19) / (k % 7 + 19), 0) AS int) END")
 scalar("f043_numeric_version", "cells", "k", lambda: V.is_numeric_version(_c("version_cell")), r"regexp_matches(version_cell, '^\d+(\.\d+)*$')")
 
 # predicates
-scalar("f041_listed", "versions", "okey", lambda: ~_c("is_archived") | _c("convert_eligible"), "NOT is_archived OR convert_eligible")
+scalar("f041_listed", "versions", "okey", lambda: L.listed(_c("is_archived"), F.when(_c("okey") % 7 != 0, _c("convert_eligible"))), "NOT is_archived OR (okey % 7 <> 0 AND convert_eligible)")
 scalar("f042_visible", "cells", "k", lambda: F.coalesce(V.boolean(_c("bool_cell")), F.lit(True)), "CASE lower(trim(bool_cell)) WHEN 'no' THEN false WHEN '0' THEN false ELSE true END")
-scalar("f044_unfiled", "files", "fid", lambda: F.split("path", "/")[0] == "guide3", "split_part(path, '/', 1) = 'guide3'")
-scalar("f045_asset_target", "cells", "k", lambda: _c("ref_cell").startswith("/shared/"), "starts_with(ref_cell, '/shared/')")
+scalar("f044_unfiled", "files", "fid", lambda: L.is_unfiled(F.concat(F.element_at(F.array(F.lit("unfiled/"), F.lit("unfiled\\"), F.lit("unfiled-not/"), F.lit("")), (_c("fid") % 4 + 1).cast("int")), "path")), "fid % 4 < 2")
+scalar("f045_asset_target", "cells", "k", lambda: L.is_asset_target(F.concat(F.when(_c("k") % 3 == 0, "/content/dam/").otherwise("/content/"), "ref_cell")), "starts_with(CASE WHEN k % 3 = 0 THEN '/content/dam/' ELSE '/content/' END || ref_cell, '/content/dam/')")
 scalar("f047_unpublishable", "files", "fid", lambda: P.unpublishable(F.replace(_c("path"), F.lit(".png"), F.lit(".exe")), _c("bytes") * 3000), "CASE WHEN path LIKE '%.png' THEN 'type' WHEN bytes * 3000 >= 104857600 THEN 'size' ELSE '' END")
 scalar("f048_unsafe_name", "cells", "k", lambda: P.is_unsafe(_c("ref_cell")), r"""starts_with(ref_cell, '/') OR len(list_filter(string_split(replace(ref_cell, '\', '/'), '/'), lambda p: p = '..' OR regexp_matches(p, '[:*?"<>|]') OR regexp_matches(p, '[. ]$') OR regexp_matches(lower(p), '^(con|prn|aux|nul|com[1-9]|lpt[1-9])(\..*)?$'))) > 0""")
-scalar("f050_skin_path", "files", "fid", lambda: F.exists(F.array(*map(F.lit, ("guide1/", "guide2/red"))), lambda p: _c("path").startswith(p)), "starts_with(path, 'guide1/') OR starts_with(path, 'guide2/red')")
+scalar("f050_skin_path", "files", "fid", lambda: L.is_skin(_c("path"), F.when(_c("fid") % 2 == 0, "flare").when(_c("fid") % 3 == 0, "dita"), {"flare": ["GUIDE1/", "guide2/red"], "dita": ["guide3/"]}), "CASE WHEN fid % 2 = 0 THEN starts_with(path, 'guide1/') OR starts_with(path, 'guide2/red') WHEN fid % 3 = 0 THEN starts_with(path, 'guide3/') ELSE false END")
 scalar("f051_support_label", "cells", "k", lambda: X.is_label(_c("label_cell"), ["note", "attention"]), "trim(regexp_replace(lower(label_cell), '[^a-z0-9]+', ' ', 'g')) IN ('note', 'attention')")
-scalar("f052_outcome", "findings", "id", lambda: F.when(_c("severity") == "error", "lost").when(_c("severity") == "warning", "issues").when(_c("n").isNotNull(), "explained").otherwise("clean"), "CASE WHEN severity = 'error' THEN 'lost' WHEN severity = 'warning' THEN 'issues' WHEN n IS NOT NULL THEN 'explained' ELSE 'clean' END")
+scalar("f052_outcome", "findings", "id", lambda: L.outcome((_c("severity") == "error").cast("int"), (_c("severity") == "warning").cast("int"), _c("n").isNotNull().cast("int")), "CASE WHEN severity = 'error' THEN 'lost' WHEN severity = 'warning' THEN 'issues' WHEN n IS NOT NULL THEN 'explained' ELSE 'clean' END")
 
 # URLs and paths
 _decode = "coalesce(url_decode(ref_cell), ref_cell)"
@@ -91,4 +92,4 @@ scalar("f189_asset_path", "products", "slug", lambda: P.asset_path(_c("bu"), F.l
 scalar("f190_rooted", "cells", "k", lambda: F.concat_ws(" ", P.rooted(_c("ref_cell")), P.unrooted(_c("ref_cell"))), "(CASE WHEN starts_with(ref_cell, '/') THEN ref_cell ELSE '/' || ref_cell END) || ' ' || regexp_replace(ref_cell, '^/+', '')")
 scalar("f191_served_url", "files", "fid", lambda: P.served_url(F.lit("http://host"), F.concat(F.lit("en-us/"), P.to_markdown(_c("path")))), r"'http://host/us/en/' || regexp_replace(regexp_replace(path, '\.x?html?$', '.md', 'i'), '\.md$', '.html')")
 scalar("f192_staging_url", "versions", "okey", lambda: F.concat(F.lit("https://stage/"), "slug", F.lit("/"), X.version_segment(_c("version"))), "'https://stage/' || slug || '/' || lower(replace(version, '.', '-'))")
-scalar("f193_identifier_split", "cells", "k", lambda: F.concat(F.split_part("ref_cell", F.lit("#"), F.lit(1)), F.lit("|"), F.split_part("ref_cell", F.lit("#"), F.lit(2))), "split_part(ref_cell, '#', 1) || '|' || split_part(ref_cell, '#', 2)")
+scalar("f193_identifier_split", "cells", "k", lambda: F.to_json(L.split_identifier(F.concat("ref_cell", F.lit("#b")))), """'{"path":"' || split_part(ref_cell, '#', 1) || '","anchor":"' || regexp_extract(ref_cell || '#b', '(?s)#(.*)$', 1) || '"}'""")

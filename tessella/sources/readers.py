@@ -6,6 +6,7 @@ import io
 import json
 import re
 import zipfile
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -155,6 +156,12 @@ def _lists(text: str) -> list[tuple[int, str, str]]:
 TOC = {"define": _define, "yaml": _yaml, "lists": _lists}
 
 
+def register_toc(name: str, read: Callable[[str], list[tuple[int, str, str]]]) -> None:
+    """Add a format of tables of contents: a function from its text to (depth, title, path) in reading order."""
+    if TOC.setdefault(name, read) is not read:
+        raise ValueError(f"two formats are called {name}")
+
+
 def toc(text: Column, name: str) -> Column:
     """Entries depth, title, path of a table of contents in a registered dialect; null where it can't be read."""
     read = TOC[name]
