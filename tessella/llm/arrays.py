@@ -6,12 +6,14 @@ a whole slice of documents at once, so that Python's cost is per slice and not p
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+_LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
 #: Bytes whose word hashes are computed at once: what the tables of powers have to reach, but for a single longer word.
 HASH_BYTES = 256 << 10
 
@@ -21,24 +23,44 @@ WORD = np.zeros(256, dtype=bool)
 WORD[48:58] = WORD[97:123] = WORD[128:] = True
 
 _RADIX = 0x9E3779B97F4A7C15 | 1
-_RADIX_INV = pow(_RADIX, -1, 1 << 64)
 _BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers: dict[str, np.ndarray] = {}
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """r**0 .. r**(n-1) modulo 2**64, or those of the inverse of r; 2 MB of them are kept."""
-    key = "inverse" if inverse else "radix"
-    have = _powers.get(key)
+def powers(radix: int, n: int) -> np.ndarray:
+    """radix**0 .. radix**(n-1) modulo 2**64; 2 MB of them are kept."""
+    have = _powers.get(radix)
     if have is None or len(have) < n:
-        have = np.full(max(n, HASH_BYTES), _RADIX_INV if inverse else _RADIX, dtype=np.uint64)
+        have = np.full(max(n, HASH_BYTES), radix, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
         if len(have) == HASH_BYTES:
-            _powers[key] = have
+            _powers[radix] = have
     return have[:n]
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, codes: np.ndarray = _BYTE_CODE, radix: int = _RADIX, lengths: bool = False) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; spans ascend and don't overlap. Blocks bound the memory, whatever raw's length."""
+    out, a, inverse = np.zeros(len(start), dtype=np.uint64), 0, pow(radix, -1, 1 << 64)
+    while a < len(start):
+        base = int(start[a])
+        b = max(a + 1, int(np.searchsorted(end, base + HASH_BYTES - 1, side="right")))
+        first, last = start[a:b] - base, end[a:b] - base
+        n = int(last[-1])
+        total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(codes[raw[base : base + n]] * powers(radix, n), out=total[1:])
+        found = (total[last] - total[first]) * powers(inverse, n)[first]
+        out[a:b] = mix(found + (last - first).astype(np.uint64) if lengths else found)
+        a = b
+    return out
+
+
+def trimmed() -> None:
+    """Give memory that a task has freed back to the system, where the C library can: workers live on between tasks."""
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (SplitMix64's finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -89,16 +111,7 @@ class Words:
         self.doc = np.searchsorted(offs, self.start, side="right") - 1
         self.per_doc = np.bincount(self.doc, minlength=len(offs) - 1)
         self.first = np.concatenate(([0], np.cumsum(self.per_doc)))  # of each document, among all words
-        self.hash = np.zeros(len(self.start), dtype=np.uint64)
-        a = 0
-        while a < len(self.start):
-            base = int(self.start[a])
-            b = max(a + 1, int(np.searchsorted(self.end, base + HASH_BYTES - 1, side="right")))
-            start, end = self.start[a:b] - base, self.end[a:b] - base
-            total = np.zeros(int(end[-1]) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE_CODE[low[base : base + int(end[-1])]] * powers(len(total) - 1), out=total[1:])
-            self.hash[a:b] = mix((total[end] - total[start]) * powers(len(total) - 1, inverse=True)[start])
-            a = b
+        self.hash = span_hashes(low, self.start, self.end)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(index of first word, hash) of every run of `size` words within one document."""

@@ -31,13 +31,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tessella.llm.arrays import LOWER, mix, slices
+from tessella.llm.arrays import LOWER, slices, span_hashes, trimmed
 from tessella.shipping import ship
 from tessella.storage import written
 
 ORDER, HEAD, FREQUENT = 5, 1 << 21, 1 << 19
 #: Context bytes that name a shard of the trie, and how many n-grams are graded at once where shards are smaller.
 SHARD, GRADED = 2, 1_000_000
+#: Bytes of text that are coded at once, and sums that a counting task holds.
+SLICE, SUMS = 1 << 20, 2_000_000
 END = 0xFF
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -114,27 +116,8 @@ def tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     begin[1:] &= ~inside[:-1] | cut[1:n]
     end[:-1] &= ~inside[1:] | cut[1:n]
     a, b = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    out = []
-    for code, radix in zip(_codes, _radix):
-        up, down = _power(radix, n), _power(pow(radix, -1, 1 << 64), n)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(code[low] * up, out=total[1:])
-        out.append(mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64)))
-    return out[0], out[1], np.searchsorted(offs, a, side="right") - 1
-
-
-_kept_powers: dict[int, np.ndarray] = {}
-
-
-def _power(radix: int, n: int) -> np.ndarray:
-    have = _kept_powers.get(radix)
-    if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 21), radix, dtype=np.uint64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        if n <= 1 << 24:
-            _kept_powers[radix] = have
-    return have[:n]
+    h1, h2 = (span_hashes(low, a, b, code, radix, lengths=True) for code, radix in zip(_codes, _radix))
+    return h1, h2, np.searchsorted(offs, a, side="right") - 1
 
 
 def _folded(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,7 +146,7 @@ def _count_batches(batches, order: int):
         held[kind], sizes[kind] = [], 0
 
     for batch in batches:
-        for part, raw, offs in slices(batch, "text"):
+        for part, raw, offs in slices(batch, "text", SLICE):
             key, _ = symbols(raw, offs, order)
             key.sort()
             at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -174,14 +157,16 @@ def _count_batches(batches, order: int):
             held[1].append(_folded([*rows, ends]))
             for kind in held:
                 sizes[kind] += len(held[kind][-1][0])
-                if sizes[kind] > 4_000_000:
+                if sizes[kind] > SUMS:
                     held[kind] = [_folded(held[kind])]
                     sizes[kind] = len(held[kind][0][0])
-                    if sizes[kind] > 2_000_000:
+                    if sizes[kind] > SUMS // 2:
                         yield from given(kind)
     for kind in held:
         if held[kind]:
             yield from given(kind)
+    held.clear()
+    trimmed()
 
 
 class Trie:
@@ -320,10 +305,13 @@ def _graded(grams: DataFrame, asked: DataFrame, low: Low) -> DataFrame:
                 if size >= GRADED and shard[a] != last:
                     yield grade(held)
                     held, size = [], 0
+                    trimmed()
                 held.append(table.slice(a, b - a))
                 size, last = size + b - a, shard[a]
         if held:
             yield grade(held)
+            held.clear()
+        trimmed()
 
     shard = F.shiftrightunsigned("k1", 8).bitwiseAND(F.lit((1 << 8 * len(low.grams)) - 1)).alias("shard")
     rows = grams.select(shard, "k1", "n").unionByName(asked.select(shard, "k1", F.lit(0).cast("long").alias("n")))
@@ -396,7 +384,7 @@ def score(documents: DataFrame, counts: DataFrame, low: Low, id_col: str = "doc_
     def run(batches):
         model, known = shared.value
         for batch in batches:
-            for part, raw, offs in slices(batch, "text"):
+            for part, raw, offs in slices(batch, "text", SLICE):
                 key, first = symbols(raw, offs, order)
                 n = part.num_rows
                 owner = np.repeat(np.arange(n), np.diff(first))
@@ -428,6 +416,7 @@ def score(documents: DataFrame, counts: DataFrame, low: Low, id_col: str = "doc_
                     ],
                     names=schema.names,
                 )
+        trimmed()
 
     scored = written(rows.mapInArrow(run, schema), "scored")
     rare = scored.select("id", "h", F.explode("rare").alias("r")).select("id", "h", "r.*")
