@@ -271,13 +271,13 @@ class Encoder:
         self.known, self.before = {}, {}
 
     def piece(self, piece: str) -> bytes:
-        """Ids, as little-endian 32-bit integers, of a prepared text without white space."""
+        """Ids, as 32-bit integers, of a prepared text without white space."""
         out = self.before.get(piece)
         if out is None:
             ids: list[int] = []
             for word in self.words(piece):
                 ids += self.automaton.path(word.encode())
-            out = np.array(ids, dtype="<i4").tobytes()
+            out = array("i", ids).tobytes()
         if len(piece) <= MAX_PIECE:
             if len(self.known) >= MAX_PIECES:
                 self.known, self.before = {}, self.known
@@ -294,17 +294,14 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         def ids_of(text: str) -> list[bytes]:
-            out = []
-            for p in self.prepared(text):
-                ids = self.known.get(p)
-                out.append(self.piece(p) if ids is None else ids)
-            return out
+            get, piece = self.known.get, self.piece
+            return [get(p) or piece(p) for p in self.prepared(text)]
 
         if self.cut is not None and "<" in text and self.cut.search(text):
             out = []
             for part in self.cut.split(text):
                 if part in self.special:
-                    out.append(np.array([self.special[part]], dtype="<i4").tobytes())
+                    out.append(array("i", [self.special[part]]).tobytes())
                 else:
                     out += ids_of(part)
             return b"".join(out)
@@ -341,7 +338,7 @@ def _spec(path: str) -> str:
 
 def _encoded(part: pa.RecordBatch, text_col: str, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
     ids = [encoder.encode(t) if t else b"" for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
-    return np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))), np.frombuffer(b"".join(ids), dtype="<i4")
+    return np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))), np.frombuffer(b"".join(ids), dtype=np.int32)
 
 
 def _id_field(df: DataFrame, id_col: str) -> T.StructField:
