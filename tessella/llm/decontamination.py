@@ -18,7 +18,6 @@ hits nothing; columns of the input other than id and text are ignored by `scan`
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
