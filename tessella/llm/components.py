@@ -1,16 +1,21 @@
 """Connected components of a link table: each partition unites its own links, then large-star and small-star steps.
 
-The same plan at every size. Where all links lie in one partition the first step has finished and one round of stars
-confirms it.
+The same plan at every size: partitions grow in number, not in size. Where all links lie in one partition the first step has
+finished and one round of stars confirms it.
 """
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessella.storage import written
 
+#: Links that a partition unites: what bounds a task's memory, some 100 MB.
+UNITED = 250_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One step: neighbours on one side of each node hang themselves on the least node around it.
@@ -51,7 +56,7 @@ def _united(batches):
         yield pa.RecordBatch.from_arrays([pa.array([find(n) for n in nodes], kind), pa.array(nodes, kind)], names=["a", "b"])
 
 
-def components(links: DataFrame, name: str = "components", most: int = 60) -> DataFrame:
+def components(links: DataFrame, name: str = "components", most: int = 60, united: int = UNITED) -> DataFrame:
     """node, label: the least node of the component, for every node that has a link. links: a, b (any orderable type).
 
     Each round is written to the shared folder, so that a lost executor costs one round. Rounds grow with the
@@ -59,7 +64,8 @@ def components(links: DataFrame, name: str = "components", most: int = 60) -> Da
     """
     edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     kind = edges.schema["a"].dataType
-    edges = written(edges.mapInArrow(_united, T.StructType([T.StructField("a", kind), T.StructField("b", kind)])), name)
+    edges = written(edges, name)
+    edges = written(edges.coalesce(max(1, math.ceil(edges.count() / united))).mapInArrow(_united, T.StructType([T.StructField("a", kind), T.StructField("b", kind)])), name)
     state = _state(edges)
     for _ in range(most):
         edges = written(_star(_star(edges, True), False), name)

@@ -420,9 +420,9 @@ def test_components_in_one_partition_and_many(spark):
     links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 430)]
     df = spark.createDataFrame(links, "a long, b long")
     got = []
-    for coalesce in ("true", "false"):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
-        got.append(sorted(map(tuple, components(df).collect())))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for united in (1000, 20):
+        got.append(sorted(map(tuple, components(df, united=united).collect())))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert got[0] == got[1] and dict(got[0])[430] == 400
     parent = {}
