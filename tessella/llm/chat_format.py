@@ -5,9 +5,8 @@ and the turns up to it are rendered and compared: if the shorter output is a pre
 turn's span; otherwise the template rewrites history, which is reported. Within a span the text's place
 is what differs between two renderings of the turn with different probe texts. Nothing else is known of the template.
 
-A conversation is streamed in turn order and given out in parts of at most `part_turns` turns. Every turn is compared
-after all turns before it, which a task holds; that takes time with the square of a conversation's turns. Only for a template
-that declares how many turns it looks back (an attribute `look_back`, or the argument) are that many held and rendered.
+A conversation is streamed in turn order and given out in parts of at most `part_turns` turns. Every turn of every template
+is rendered and compared after all turns before it, which a task holds; that takes time with the square of a conversation's turns.
 
 The template here marks turns with control strings and puts an escape before each control string or escape that stands
 inside a text or role, so the output parses back to the same turns.
@@ -39,6 +38,8 @@ _TOKEN = re.compile(r"\\.|" + "|".join(map(re.escape, (OPEN, CLOSE, END, BEGIN,
 
 
 def escape(text: str) -> str:
+    if "\\" not in text and "[" not in text and "<" not in text:  # whole prefixes are escaped again for every turn
+        return text
     return _CONTROL.sub(lambda m: "\\" + m[0], text)
 
 
@@ -59,9 +60,6 @@ def render(turns: list[Turn]) -> str:
     return "".join(out)
 
 
-render.look_back = 0  # type: ignore[attr-defined]
-
-
 def parse(formatted: str) -> list[Turn]:
     """The turns of an output of `render`, with or without its beginning mark."""
     turns, at, mode, role = [], 0, "assistant", "assistant"
@@ -97,10 +95,9 @@ def locate(render: Render, context: list[Turn], turn: Turn, before: str | None =
 _SPAN = T.StructType([T.StructField("role", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("start", "end", "text_start", "text_end"))])
 
 
-def format(conversations: DataFrame, template: Render = render, look_back: int | None = None, part_turns: int = 256, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", loss_role: str = "assistant") -> DataFrame:  # noqa: A001
+def format(conversations: DataFrame, template: Render = render, part_turns: int = 256, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", loss_role: str = "assistant") -> DataFrame:  # noqa: A001
     """id, part, formatted, spans (turn and text places in the whole conversation), loss (mask as start, end), rewrites."""
     ship(conversations.sparkSession)
-    look_back = getattr(template, "look_back", None) if look_back is None else look_back
     kind = conversations.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("part", T.LongType()), T.StructField("formatted", T.StringType()), T.StructField("spans", T.ArrayType(_SPAN)), T.StructField("loss", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("rewrites", T.BooleanType())])
     rows = conversations.select(F.col(id_col).alias("id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -134,13 +131,10 @@ def format(conversations: DataFrame, template: Render = render, look_back: int |
                     before = template([])
                     pieces.append(before)
                     at = len(before)
-                    if look_back is not None:
-                        before = None
                 elif len(spans) >= part_turns:
                     close_part()
                 found = locate(template, held, (role, text), before)
-                if look_back is None:  # the whole prefix's output goes on by what was added
-                    before = None if found is None else (template(held) if before is None else before) + found[0]
+                before = None if found is None else (template(held) if before is None else before) + found[0]  # the whole prefix's output
                 if found is None:
                     rewrites = True
                     found = ("", 0, 0)
@@ -149,8 +143,6 @@ def format(conversations: DataFrame, template: Render = render, look_back: int |
                 pieces.append(added)
                 at += len(added)
                 held.append((role, text))
-                if look_back is not None:
-                    del held[: max(0, len(held) - look_back)]
             if len(done) >= 500:
                 yield given()
         if open_:

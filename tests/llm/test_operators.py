@@ -509,3 +509,19 @@ def test_ppm_grades_in_shards(spark):
         for frequent in (1 << 19, 1):
             got = {r.doc_id: r.score for r in ppm.score(frame(spark, rows), counts, low, frequent=frequent).collect()}
             assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
+def test_chat_format_query_renders_whole_prefixes(spark):
+    """The template of the query declares nothing: each turn is rendered after all turns before it."""
+    seen = spark.sparkContext.accumulator(0)
+    turns, roles = 30, ("user", "assistant")
+
+    def counted(given):
+        seen.add(len(given))
+        return chat_format.render(given)
+
+    vars(counted).update(vars(chat_format.render))
+    rows = [(1, i, roles[i % 2], f"t{i}", "") for i in range(turns)]
+    got = chat_format.format(chats(spark, rows), template=counted).collect()
+    assert seen.value >= 3 * sum(range(1, turns + 1))
+    assert "".join(r.formatted for r in got) == chat_format.render([r[2:4] for r in rows]) and not any(r.rewrites for r in got)
